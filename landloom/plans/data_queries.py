@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from landloom.functions.text import key_text
 from landloom.missing import TABLE_TOKENS, is_missing
 from landloom.operators.heavy import best_row_per_key, skew_join, split_heavy
+from landloom.operators.unpack import unpack
 from landloom.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,20 @@ def p4_heavy_share(spark: SparkSession, folder: str) -> DataFrame:
     return both.groupBy("county_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("owned_lands").alias("lands"))
 
 
+PACKED = ["id_list", "acres_list", "deed_date_list", "market_value_list"]
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    rows = unpack(table(spark, folder, "load_rows"), ["row_no"], PACKED)
+    return rows.filter("n_items > 1").select("row_no", "field_name", "item_pos", "item_text")
+
+
+def p3_value_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Values, absent values and the longest list per field, over all cells."""
+    rows = unpack(table(spark, folder, "load_rows"), ["row_no"], PACKED)
+    return rows.groupBy("field_name").agg(F.count(F.lit(1)).alias("n_values"), F.count_if(F.col("item_text") == "").alias("n_absent"), F.max("n_items").alias("longest"))
+
+
 # The white space that `(?U)\s` and DuckDB's `\s` take differs only for rare characters.
 _KEY = "upper(trim(regexp_replace({0}, '[\\s\\x{{00A0}}]+', ' ', 'g')))"
 _MISS = "({0} is null or lower(trim(regexp_replace({0}, '[\\s\\x{{00A0}}]+', ' ', 'g'))) in ('empty','','nan','none','null','n/a','na','--','unknown','not available'))"
@@ -68,6 +83,8 @@ _BEST = """best as (select county_id, mailing_key, count(*) n_rows,
     arg_max(row_no, (owned_lands, -row_no)) filter (owned_lands is not null) row_no from mailing group by all)"""
 
 QUERIES: dict[str, Query] = {
+    "p3_found": p3_found,
+    "p3_value_counts": p3_value_counts,
     "p4_found": p4_found,
     "p4_best_row": p4_best_row,
     "p4_mail_history": p4_mail_history,
