@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from landloom.functions.text import key_text
 from landloom.missing import TABLE_TOKENS, is_missing
+from landloom.operators import drift
 from landloom.operators.heavy import best_row_per_key, skew_join, split_heavy
 from landloom.operators.unpack import unpack
 from landloom.plans.tables import table
+from landloom.session import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +62,35 @@ def p4_heavy_share(spark: SparkSession, folder: str) -> DataFrame:
     return both.groupBy("county_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("owned_lands").alias("lands"))
 
 
+def _paths(spark: SparkSession, folder: str) -> DataFrame:
+    return drift.path_values(table(spark, folder, "raw_cad"), "input_file", "record_no", "payload")
+
+
+def _drift(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    paths = cut(_paths(spark, folder), "paths")
+    order = drift.file_order(table(spark, folder, "file_summary"), "feed_no", "input_file", "exported_at")
+    return paths, drift.changes(paths, order)
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _drift(spark, folder)[1].select("input_file", "change_kind", "old_name", "new_name")
+
+
+def p1_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The records of all files as one table with consistent, typed columns."""
+    return drift.consistent_table(*_drift(spark, folder))[0]
+
+
+def p1_failed_casts(spark: SparkSession, folder: str) -> DataFrame:
+    """Per file and attribute the values that cannot be read as the attribute's type."""
+    return drift.consistent_table(*_drift(spark, folder))[1]
+
+
+def p1_field_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Non-null values per file and field."""
+    return _paths(spark, folder).groupBy(F.col("file").alias("input_file"), "name").agg(F.count(F.lit(1)).alias("n_values"))
+
+
 PACKED = ["id_list", "acres_list", "deed_date_list", "market_value_list"]
 
 
@@ -83,6 +114,10 @@ _BEST = """best as (select county_id, mailing_key, count(*) n_rows,
     arg_max(row_no, (owned_lands, -row_no)) filter (owned_lands is not null) row_no from mailing group by all)"""
 
 QUERIES: dict[str, Query] = {
+    "p1_found": p1_found,
+    "p1_table": p1_table,
+    "p1_failed_casts": p1_failed_casts,
+    "p1_field_values": p1_field_values,
     "p3_found": p3_found,
     "p3_value_counts": p3_value_counts,
     "p4_found": p4_found,
@@ -92,6 +127,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "p1_field_values": """with k as (select input_file, payload::json j, unnest(json_keys(payload::json)) as name from raw_cad)
+    select input_file, name, count(*) n_values from k where json_type(j, '$."' || name || '"') <> 'NULL' group by all""",
     "p4_found": f"""with {_MAILING}, {_BEST}, c as (select county_id, count(*) n from load_rows group by all)
     select county_id, mailing_key, row_no from best join c using (county_id) where n_rows * 20 >= n and row_no is not null""",
     "p4_best_row": f"with {_MAILING}, {_BEST} select county_id, mailing_key, row_no, n_rows from best",
