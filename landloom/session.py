@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,3 +78,23 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per context, wherever the driver found it."""
+    context = spark.sparkContext
+    if getattr(context, "_landloom_shipped", False):
+        return spark
+    source = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="landloom-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, f"{os.path.basename(source)}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for place, _, files in os.walk(source):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(place, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(source)))
+    context.addPyFile(archive)
+    context._landloom_shipped = True
+    return spark
