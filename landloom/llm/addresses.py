@@ -74,6 +74,9 @@ def parse(text: str) -> Address:
                 state, code = state or STATE_FORM[split[k - 1]], code or split[k][:5]
                 city, split = city or " ".join(split[:k - 1]), split[k + 1:]
                 break
+            if 0 < k and split[k] in STATE_FORM and split[k + 1].isdigit() and len(split[k + 1]) < 5 and len(split) > k + 2 and split[0].isalpha() and split[0] not in ("BOX", "FM", "CR") and not any(x.isdigit() for x in split[:k]):
+                state, city, split = state or STATE_FORM[split[k]], city or " ".join(split[:k]), split[k + 1:]
+                break
         rest, st, zp = _place(split)
         state, code = state or st, code or zp
         i, n = 0, len(rest)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landloom.llm.addresses_link import address_records, locations, same_place_pairs
+from landloom.llm.names_link import name_records, owners, same_owner_pairs
 from landloom.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,19 @@ def p2_places(spark: SparkSession, folder: str) -> DataFrame:
     return locations(_addresses(spark, folder)).select(F.col("area").alias("county_id"), "address_key", "place")
 
 
-QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_places": p2_places}
+def _names(spark: SparkSession, folder: str) -> DataFrame:
+    return name_records(table(spark, folder, "load_rows"), "county_id", "row_no", "full_name")
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return same_owner_pairs(_names(spark, folder))
+
+
+def p7_owners(spark: SparkSession, folder: str) -> DataFrame:
+    """Each distinct name text of a county with the owner it names."""
+    return owners(_names(spark, folder)).select(F.col("area").alias("county_id"), "name_key", "owner")
+
+
+QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_places": p2_places, "p7_found": p7_found, "p7_owners": p7_owners}
 
 ORACLES: dict[str, str] = {}
