@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from landloom.llm.addresses_link import address_records, locations, same_place_pairs
 from landloom.llm.names_link import name_records, owners, same_owner_pairs
+from landloom.llm.survivor import address_parts, best_values, fuse, grouped, name_words, rule_survivors
+from landloom.missing import TABLE_TOKENS, is_missing
+from landloom.functions.text import key_text
 from landloom.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +43,37 @@ def p7_owners(spark: SparkSession, folder: str) -> DataFrame:
     return owners(_names(spark, folder)).select(F.col("area").alias("county_id"), "name_key", "owner")
 
 
-QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_places": p2_places, "p7_found": p7_found, "p7_owners": p7_owners}
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    rows = grouped(table(spark, folder, "load_rows"), "county_id", "land_id")
+    acres = F.col("acres").try_cast("double")
+    flag = F.lower(F.trim(F.coalesce(F.col("legal_acreage_filled_by_script"), F.lit(""))))
+    filled = F.regexp_replace(flag, r"[\[\]\"' ]", "").rlike("^true(,true)*$")
+    scores = {
+        "legal_address": F.when(~is_missing(F.col("legal_address"), TABLE_TOKENS), address_parts(F.col("legal_address"))),
+        "acres": F.when(acres > 0, F.when(filled, 0).otherwise(1)),
+        "full_name": F.when(~is_missing(F.col("full_name"), TABLE_TOKENS), name_words(F.col("full_name"))),
+    }
+    found = rule_survivors(rows, "row_no", "exported_at", scores)
+    return found.select(F.col("group_row").alias("group_row_no"), "field_name", F.col("best_row").alias("best_row_no"))
+
+
+def p6_fused(spark: SparkSession, folder: str) -> DataFrame:
+    """Per parcel and field the value of greatest posterior; the sources are the files."""
+    rows = grouped(table(spark, folder, "load_rows"), "county_id", "land_id")
+    acres = F.round(F.col("acres").try_cast("double"), 2)
+    values = {
+        "legal_address": F.when(~is_missing(F.col("legal_address"), TABLE_TOKENS), key_text(F.col("legal_address"))),
+        "acres": F.when(acres > 0, acres.cast("string")),
+        "full_name": F.when(~is_missing(F.col("full_name"), TABLE_TOKENS), key_text(F.col("full_name"))),
+    }
+    cell = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), v.alias("v")) for f, v in values.items()])).alias("c")
+    flat = rows.select("area__", "key__", F.col("source_file").alias("source"), cell)
+    claims = flat.select(F.concat_ws("|", "area__", "key__", "c.f").alias("item"), "source", F.col("c.v").alias("value"))
+    best = best_values(fuse(claims))
+    part = F.split("item", r"\|")
+    return best.select(part[0].cast("int").alias("county_id"), part[1].alias("parcel"), part[2].alias("field_name"), "value", "n_sources", F.round("posterior", 6).alias("posterior"))
+
+
+QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_places": p2_places, "p6_found": p6_found, "p6_fused": p6_fused, "p7_found": p7_found, "p7_owners": p7_owners}
 
 ORACLES: dict[str, str] = {}
