@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landloom.llm.addresses_link import address_records, locations, same_place_pairs
+from landloom.llm.language import tag_documents
 from landloom.llm.names_link import name_records, owners, same_owner_pairs
 from landloom.llm.survivor import address_parts, best_values, fuse, grouped, name_words, rule_survivors
 from landloom.missing import TABLE_TOKENS, is_missing
@@ -74,6 +75,19 @@ def p6_fused(spark: SparkSession, folder: str) -> DataFrame:
     return best.select(part[0].cast("int").alias("county_id"), part[1].alias("parcel"), part[2].alias("field_name"), "value", "n_sources", F.round("posterior", 6).alias("posterior"))
 
 
-QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_places": p2_places, "p6_found": p6_found, "p6_fused": p6_fused, "p7_found": p7_found, "p7_owners": p7_owners}
+def p10_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Every language segment of every document, with a confidence."""
+    tagged = tag_documents(table(spark, folder, "documents"), "doc_id", "text", "lang")
+    return tagged.withColumnRenamed("doc", "doc_id")
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    case = F.col("label_lang").isNull() | (F.col("n_segments") > 1) | (F.col("label_lang") != F.col("lang"))
+    return p10_segments(spark, folder).filter(case).select("doc_id", "seg_no", "lang")
+
+
+QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_places": p2_places, "p6_found": p6_found, "p6_fused": p6_fused, "p7_found": p7_found, "p7_owners": p7_owners,
+    "p10_found": p10_found, "p10_segments": p10_segments,
+}
 
 ORACLES: dict[str, str] = {}
