@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from landloom.llm.addresses_link import address_records, locations, same_place_pairs
 from landloom.llm.language import tag_documents
+from landloom.llm.leaks import find_leaks
 from landloom.llm.names_link import name_records, owners, same_owner_pairs
 from landloom.llm.survivor import address_parts, best_values, fuse, grouped, name_words, rule_survivors
 from landloom.missing import TABLE_TOKENS, is_missing
@@ -86,7 +87,25 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_segments(spark, folder).filter(case).select("doc_id", "seg_no", "lang")
 
 
+def p9_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with each item it leaks: consecutive item words found, share of the item matched."""
+    found = find_leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "item_text")
+    return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "words", "share")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_leaks(spark, folder).select("doc_id", "item_id").distinct()
+
+
+def p9_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Per item the documents that leak it and the most consecutive words of it in one of them."""
+    leaks = p9_leaks(spark, folder).groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("words").alias("most_words"))
+    items = table(spark, folder, "eval_items").select("item_id", "item_kind")
+    return items.join(leaks, "item_id", "left").select("item_id", "item_kind", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), F.coalesce("most_words", F.lit(0)).alias("most_words"))
+
+
 QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_places": p2_places, "p6_found": p6_found, "p6_fused": p6_fused, "p7_found": p7_found, "p7_owners": p7_owners,
+    "p9_found": p9_found, "p9_leaks": p9_leaks, "p9_leaked_items": p9_leaked_items,
     "p10_found": p10_found, "p10_segments": p10_segments,
 }
 
