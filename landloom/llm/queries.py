@@ -11,6 +11,7 @@ from landloom.llm.addresses_link import address_records, locations, same_place_p
 from landloom.llm.language import tag_documents
 from landloom.llm.leaks import find_leaks
 from landloom.llm.names_link import name_records, owners, same_owner_pairs
+from landloom.llm.packing import LOSS, SEGMENTS, TOKENS, fill_containers, measure
 from landloom.llm.survivor import address_parts, best_values, fuse, grouped, name_words, rule_survivors
 from landloom.missing import TABLE_TOKENS, is_missing
 from landloom.functions.text import key_text
@@ -87,6 +88,18 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_segments(spark, folder).filter(case).select("doc_id", "seg_no", "lang")
 
 
+def p8_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """Container and position of every text, or piece of a text longer than a container."""
+    packed = fill_containers(measure(table(spark, folder, "documents"), "doc_id", "text"))
+    return packed.withColumnRenamed("doc", "doc_id")
+
+
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """Per container what it holds, and whether every limit is kept."""
+    sums = p8_packed(spark, folder).groupBy("container_id").agg(F.count(F.lit(1)).alias("n_segments"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_loss").alias("n_loss"))
+    return sums.withColumn("kept", (F.col("n_tokens") <= TOKENS) & (F.col("n_segments") <= SEGMENTS) & (F.col("n_loss") <= LOSS))
+
+
 def p9_leaks(spark: SparkSession, folder: str) -> DataFrame:
     """Each document with each item it leaks: consecutive item words found, share of the item matched."""
     found = find_leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "item_text")
@@ -105,6 +118,7 @@ def p9_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_places": p2_places, "p6_found": p6_found, "p6_fused": p6_fused, "p7_found": p7_found, "p7_owners": p7_owners,
+    "p8_packed": p8_packed, "p8_fill": p8_fill,
     "p9_found": p9_found, "p9_leaks": p9_leaks, "p9_leaked_items": p9_leaked_items,
     "p10_found": p10_found, "p10_segments": p10_segments,
 }
