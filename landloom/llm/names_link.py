@@ -22,37 +22,35 @@ _NEVER = 99.0
 SLIP_RATIO, RARE = 5, 2
 
 
-def _given_forms(name: Name) -> list[tuple[str, ...]]:
-    """Rewritings of the given names: in full, further ones as initials, further ones left out."""
-    g = name.given
-    if name.kind != "person" or len(g) < 2:
-        return [g]
-    return list(dict.fromkeys([g, (g[0], *(x[0] for x in g[1:])), g[:1]]))
-
-
-def _core_forms(core: str) -> list[str]:
-    """Rewritings of a surname or own name that survive slips: letters in order of the alphabet,
-    whole and with any one left out; the first and the last four letters."""
+def _slips(core: str) -> list[str]:
+    """Rewritings of a surname or own name that survive slips: its letters in order of the
+    alphabet, whole and with any one left out."""
     c = core.replace(" ", "")
     if len(c) < 5:
         return [c]
     letters = sorted(c)
-    whole = "".join(letters)
-    return [whole, *sorted({"".join(letters[:i] + letters[i + 1:]) for i in range(len(letters))}), "<" + c[:4], ">" + c[-4:]]
+    return ["".join(letters), *sorted({"".join(letters[:i] + letters[i + 1:]) for i in range(len(letters))})]
+
+
+def _halves(core: str, size: int) -> list[str]:
+    """The first and the last letters, which survive several slips in the other half."""
+    c = core.replace(" ", "")
+    return ["<" + c[:size], ">" + c[-size:]] if len(c) > size else []
 
 
 def rewritings(name: Name) -> list[str]:
     """Every canonical form under which a writing of the same owner may be met.
 
     Nicknames, legal forms and word order have been made canonical by the
-    parser; legal forms may be left out, so no form has them.
+    parser; legal forms may be left out, so no form has them. Further given
+    names may be initials or left out, so the forms of a person that allow for
+    slips carry the first one only; the coarser forms by halves of the surname carry all.
     """
-    out = []
-    for k, given in enumerate(_given_forms(name)):
-        head = f"{name.kind}|{' '.join(given)}|{name.suffix}|{name.series}|"
-        cores = _core_forms(name.core)
-        out += [head + c for c in (cores if k == 0 or len(given) > 1 else [c for c in cores if c[0] not in "<>"])]
-    return out
+    tail = f"|{name.suffix}|{name.series}|"
+    given = name.given[:1] if name.kind == "person" else name.given
+    head = f"{name.kind}|{' '.join(given)}{tail}"
+    whole = f"{name.kind}|{' '.join(name.given)}{tail}"
+    return [head + c for c in _slips(name.core)] + [whole + c for c in _halves(name.core, 5 if name.kind == "person" and len(name.given) < 2 else 4)]
 
 
 def cost(a: Name, b: Name) -> float:
@@ -194,6 +192,8 @@ def owners(records: DataFrame) -> DataFrame:
     nodes = parsed.filter(read).groupBy("node", "area", *_PARTS).agg(F.sum("n").alias("n")).join(spread, "core")
     nodes = cut(nodes.select("node", "area", *_PARTS, "n", "spread"), "nodes")
     forms = nodes.select("area", "node", *_PARTS).mapInPandas(_form_batches, "node long, form string").select("node", F.xxhash64("form").alias("form"))
+    # Dealt by form once: the count of its names and the join use the same exchange.
+    forms = forms.repartition("form")
     # Forms of a single name leave before the join.
     shared = forms.groupBy("form").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last").select("form")
     met = cut(forms.join(shared, "form", "left_semi"), "forms")
