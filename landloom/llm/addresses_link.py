@@ -148,6 +148,7 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = pd.DataFrame(parsed, columns=list(_PARTS))
         out.insert(0, "area", batch["area"].to_numpy())
         out.insert(1, "address_key", batch["address_key"].to_numpy())
+        out["block"] = [block(a) for a in parsed]
         yield out
 
 
@@ -236,13 +237,15 @@ def locations(records: DataFrame) -> DataFrame:
     """
     texts = records.groupBy("area", "address_key").agg(F.count(F.lit(1)).alias("n"))
     area_type = records.schema["area"].dataType.simpleString()
-    schema = f"area {area_type}, address_key string, " + ", ".join(f"`{p}` string" for p in _PARTS)
+    schema = f"area {area_type}, address_key string, " + ", ".join(f"`{p}` string" for p in [*_PARTS, "block"])
     parsed = texts.select("area", "address_key", F.col("address_key").alias("address")).mapInPandas(_parse_batches, schema)
     read = (F.col("number") != "") & (F.col("street") != "")
-    parsed = cut(parsed.withColumn("node", F.when(read, _node()).otherwise(F.xxhash64("area", "address_key"))).withColumn("read", read), "parsed")
-    nodes = parsed.filter("read").groupBy("node", "area", *_PARTS).agg(F.count(F.lit(1)).alias("n"))
+    parsed = parsed.withColumn("node", F.when(read, _node()).otherwise(F.xxhash64("area", "address_key"))).withColumn("block", F.when(read, F.xxhash64("area", "block")))
+    parsed = cut(parsed, "parsed")
+    # A location's writings share its block, so a block of one node has no pair and leaves here.
+    blocks = parsed.filter("block is not null").groupBy("block").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last").select("block")
+    nodes = cut(parsed.join(blocks, "block", "left_semi").groupBy("node", "area", *_PARTS).agg(F.count(F.lit(1)).alias("n")), "nodes")
     banded = nodes.select("node", "area", *_PARTS).mapInPandas(_band_batches, "node long, band long")
-    # Bands that hold one node only cannot give a pair.
     pairs = banded.alias("p").join(banded.alias("q"), (F.col("p.band") == F.col("q.band")) & (F.col("p.node") < F.col("q.node"))).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
     one = nodes.select(F.col("node").alias("a"), *[F.col(p).alias(f"{p}_a") for p in _PARTS])
     two = nodes.select(F.col("node").alias("b"), *[F.col(p).alias(f"{p}_b") for p in _PARTS])
