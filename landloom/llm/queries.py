@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landloom.llm.addresses_link import address_records, locations, same_place_pairs
+from landloom.llm.history import duplicates, history_rows, parcel_items
 from landloom.llm.language import tag_documents
 from landloom.llm.leaks import find_leaks
 from landloom.llm.names_link import name_records, owners, same_owner_pairs
@@ -46,6 +47,26 @@ def p7_owners(spark: SparkSession, folder: str) -> DataFrame:
     return owners(_names(spark, folder)).select(F.col("area").alias("county_id"), "name_key", "owner")
 
 
+def _history(spark: SparkSession, folder: str) -> DataFrame:
+    names = {"area": "county_id", "land": "land_id", "ids": "id_list", "name": "full_name", "address": "legal_address", "acres": "acres"}
+    load = history_rows(table(spark, folder, "load_rows"), segment=F.col("batch_no"), source="load_rows", key="row_no", **names)
+    owner = history_rows(table(spark, folder, "db_owner"), segment=F.lit(0), source="db_owner", key="unique_id", **names)
+    return load.unionByName(owner)
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    last = table(spark, folder, "load_rows").agg(F.max("batch_no")).first()[0] or 0
+    found = duplicates(_history(spark, folder), last)
+    return found.select(F.col("key").cast("long").alias("row_no"), F.col("hist_source").alias("hist_table"), "hist_key")
+
+
+def p5_existing_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Per county the distinct parcel keys that the accepted rows hold."""
+    rows = parcel_items(table(spark, folder, "db_owner"), "county_id", "land_id", "id_list")
+    keys = rows.select("county_id", F.explode("parcels").alias("parcel")).distinct()
+    return keys.groupBy("county_id").agg(F.count(F.lit(1)).alias("existing_parcel_id_keys"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     rows = grouped(table(spark, folder, "load_rows"), "county_id", "land_id")
     acres = F.col("acres").try_cast("double")
@@ -117,10 +138,18 @@ def p9_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
     return items.join(leaks, "item_id", "left").select("item_id", "item_kind", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), F.coalesce("most_words", F.lit(0)).alias("most_words"))
 
 
-QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_places": p2_places, "p6_found": p6_found, "p6_fused": p6_fused, "p7_found": p7_found, "p7_owners": p7_owners,
+QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_places": p2_places, "p5_found": p5_found, "p5_existing_keys": p5_existing_keys,
+    "p6_found": p6_found, "p6_fused": p6_fused, "p7_found": p7_found, "p7_owners": p7_owners,
     "p8_packed": p8_packed, "p8_fill": p8_fill,
     "p9_found": p9_found, "p9_leaks": p9_leaks, "p9_leaked_items": p9_leaked_items,
     "p10_found": p10_found, "p10_segments": p10_segments,
 }
 
-ORACLES: dict[str, str] = {}
+_PARCEL = """regexp_replace(regexp_replace(regexp_replace(regexp_replace(upper(regexp_replace({0}, '[\\s"''\\[\\]{{}}]', '', 'g')), '\\.0+$', ''), '[^0-9A-Z]', '', 'g'), '^R([0-9])', '\\1'), '^0+(.)', '\\1')"""
+_MISSING = "('empty','','nan','none','null','n/a','na','--','unknown','not available')"
+
+ORACLES: dict[str, str] = {
+    "p5_existing_keys": f"""with x as (select county_id, land_id t from db_owner union all select county_id, cast(unnest(id_list) as varchar) t from db_owner),
+    k as (select distinct county_id, {_PARCEL.format('t')} p from x where t is not null and lower(trim(t)) not in {_MISSING})
+    select county_id, count(*) existing_parcel_id_keys from k where p <> '' group by county_id""",
+}
