@@ -53,9 +53,9 @@ def aligned_cell(col: Column, size: Column) -> Column:
 
 def pad_trim(array: Column, size: Column, fill: Column | None = None) -> Column:
     """Exactly `size` items: cut, or filled up with `fill` (null); no size, no items."""
-    fill = F.lit(None) if fill is None else fill
-    wanted = F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.when(i <= F.size(array), F.get(array, i - 1)).otherwise(fill))
-    return F.when(size > 0, wanted).otherwise(F.slice(wanted, 1, 0))
+    wanted = F.greatest(size, F.lit(0))
+    more = F.array_repeat(F.lit(None) if fill is None else fill, F.greatest(wanted - F.size(array), F.lit(0)).cast("int"))
+    return F.concat(F.slice(array, F.lit(1), wanted.cast("int")), more)
 
 
 def typed(array: Column, kind: str) -> Column:
@@ -130,8 +130,12 @@ def parcels(ids: Column, **lists: Column) -> Column:
 
 def first_per_id(array: Column) -> Column:
     """Parcels with each id once, the first; blank ids all stay."""
-    keys = F.transform(array, lambda p: F.lower(id_text(p["id"])))
-    return F.filter(array, lambda p, i: (id_text(p["id"]) == "") | (F.array_position(keys, F.lower(id_text(p["id"]))) == i + 1))
+    keyed = F.transform(array, lambda p, i: F.struct(F.lower(id_text(p["id"])).alias("k"), i.alias("i"), p.alias("p")))
+    # One pass: the ids seen so far are kept beside the parcels taken.
+    seen = F.aggregate(
+        keyed, F.struct(F.array().cast("array<string>").alias("ids"), F.filter(keyed, lambda x: F.lit(False)).alias("taken")),
+        lambda a, x: F.when((x["k"] != "") & F.array_contains(a["ids"], x["k"]), a).otherwise(F.struct(F.array_append(a["ids"], x["k"]).alias("ids"), F.array_append(a["taken"], x).alias("taken"))))
+    return F.transform(seen["taken"], lambda x: x["p"])
 
 
 def field(array: Column, name: str) -> Column:

@@ -70,26 +70,30 @@ def typed_rows(df: DataFrame, *, ident: str = "id") -> tuple[DataFrame, DataFram
     bad = F.col("land__").isNull() & (F.size("ids__") == 0)
     skipped = rows.filter(bad).select(*df.columns, F.lit("missing_id_and_id_list").alias("reason"))
     size = F.greatest(F.size("ids__"), F.lit(1))
+    # Cells become arrays in a step of their own, so that none is parsed twice.
+    cells = [c for c in ("acres_list", "market_value_list", "owner_tax_year_list", "deed_date_list") if c in has]
+    good = rows.filter(~bad).withColumns({f"cells_{c}__": list_cell_commas(cell(c)) for c in cells}).withColumn("name__", text_or_null(cell("full_name"), 150))
 
     def values(column: str, read, kind: str) -> Column:
         if column not in has:
             return F.lit(None).cast(f"array<{kind}>")
-        return null_if_empty(pad_trim(F.transform(list_cell_commas(cell(column)), lambda x: read(x).cast(kind)), size, F.lit(None).cast(kind)))
+        return null_if_empty(pad_trim(F.transform(F.col(f"cells_{column}__"), lambda x: read(x).cast(kind)), size, F.lit(None).cast(kind)))
 
     acres = money(cell("acres"))
-    acres_list = values("acres_list", money, "double")
+    good = good.withColumn("acres__", values("acres_list", money, "double"))
+    acres_list = F.col("acres__")
     one = pad_trim(F.array(acres), size, F.lit(None).cast("double"))
     acres_list = F.when(F.exists(F.coalesce(acres_list, F.array().cast("array<double>")), lambda x: x.isNotNull()), acres_list).otherwise(one)
-    first, last = split_name(text_or_null(cell("full_name"), 150))
+    first, last = split_name(F.col("name__"))
     flags = F.transform(list_cell_commas(cell("legal_acreage_filled_by_script")), lambda x: parse_bool(x))
     payload = F.struct(
-        F.col("land__").alias("land_id"), text_or_null(cell("full_name"), 150).alias("full_name"), text_or_null(cell("legal_address")).alias("legal_address"),
+        F.col("land__").alias("land_id"), F.col("name__").alias("full_name"), text_or_null(cell("legal_address")).alias("legal_address"),
         text_or_null(cell("mailing_address")).alias("mailing_address"), acres.alias("acres"), text_or_null(cell("city"), 100).alias("city"), text_or_null(cell("zip"), 10).alias("zip"),
         first.alias("first_name_1"), last.alias("last_name_1"), lands_count(cell("lands_count"), cell("owned_lands"), ids=F.col("ids__")).cast("int").alias("owned_lands"),
         null_if_empty(F.col("ids__")).alias("id_list"), acres_list.alias("acres_list"), values("market_value_list", money, "double").alias("market_value_list"),
         values("owner_tax_year_list", whole_truncated, "int").alias("owner_tax_year_list"), values("deed_date_list", parse_date, "date").alias("deed_date_list"),
         F.size(F.filter(flags, lambda x: x)).alias("true_flags"))
-    return rows.filter(~bad).withColumn("p", payload).drop("ids__", "land__"), skipped
+    return good.withColumn("p", payload).drop("ids__", "land__", "name__", "acres__", *[f"cells_{c}__" for c in cells]), skipped
 
 
 PAYLOAD = (

@@ -50,9 +50,11 @@ def source_records(df: DataFrame, area: Sequence[str], row: str, *, ident: str =
         if c == "acres_list" and acres in df.columns:
             one = F.filter(F.array(F.col(f"`{acres}`").cast("string")), lambda x: ~is_missing(x, M5))
             values = F.when(F.size(values) > 0, values).otherwise(one)
-        lists[c] = typed(pad_trim(values, F.size("raw__")), kind)
-    pick = {c: id_map(F.col("num__"), v) for c, v in lists.items()}
-    kept = rows.filter("reason is null")
+        lists[c] = values
+    kept = rows.filter("reason is null").withColumns({f"v_{c}": v for c, v in lists.items()})
+    kept = kept.withColumns({f"v_{c}": pad_trim(typed(F.col(f"v_{c}"), kind), F.size("raw__")) for c, kind in VALUE_LISTS.items()})
+    kept = kept.withColumns({f"v_{c}": id_map(F.col("num__"), F.col(f"v_{c}")) for c in VALUE_LISTS})
+    pick = {c: F.col(f"v_{c}") for c in VALUE_LISTS}
     found = F.array_distinct(F.when(F.size(good) > 0, good).otherwise(fallback))
     kept = kept.select(
         *area, F.col(f"`{row}`").alias("row"), F.col("land__").alias("land_id"), (clean_scalar(F.col(f"`{name}`")) if name in df.columns else F.lit("")).alias("name"),
@@ -124,13 +126,16 @@ def merged_lists(records: DataFrame, stored: DataFrame, matches: DataFrame, area
     out, changed = {}, [F.when(F.col("old_ids") != F.col("final_ids"), F.lit("id_list"))]
     for c, kind in VALUE_LISTS.items():
         sql_type = {"number": "double", "whole": "bigint", "date": "date"}[kind]
-        stored_list = F.col(f"old_{c}").cast(f"array<{sql_type}>")
-        old_map = id_map(F.col("old_ids"), pad_trim(F.coalesce(stored_list, F.array().cast(f"array<{sql_type}>")), F.size("old_ids"), F.lit(None).cast(sql_type)))
+        stored_list = F.coalesce(F.col(f"old_{c}").cast(f"array<{sql_type}>"), F.array().cast(f"array<{sql_type}>"))
+        both = both.withColumn(f"o_{c}", pad_trim(stored_list, F.size("old_ids"), F.lit(None).cast(sql_type))).withColumn(f"o_{c}", id_map(F.col("old_ids"), F.col(f"o_{c}")))
+        old_map = F.col(f"o_{c}")
         new_map = F.map_from_arrays(F.col("ids"), F.col(c).cast(f"array<{sql_type}>"))
         was = _looked_up(F.col("final_ids"), old_map)
         if c == "acres_list":
             was = F.when((F.size("old_ids") == 0) & F.col("their_number").isNotNull(), F.transform("final_ids", lambda i: F.when(i == F.col("their_number"), F.col("their_acres")))).otherwise(was)
         now = _looked_up(F.col("final_ids"), new_map)
+        both = both.withColumns({f"was_{c}": was, f"now_{c}": now})
+        was, now = F.col(f"was_{c}"), F.col(f"now_{c}")
         value = F.zip_with(was, now, lambda a, b: F.coalesce(b, a) if overwrite else F.coalesce(a, b))
         near = (lambda a, b: a.eqNullSafe(b) | (F.abs(a - b) < 1e-9)) if kind == "number" else (lambda a, b: a.eqNullSafe(b))
         same = F.forall(F.zip_with(was, value, near), lambda x: F.coalesce(x, F.lit(False)))

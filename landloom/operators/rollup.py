@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landloom.functions.arrays import acres_texts, aligned_cell, field, first_per_id, json_text, list_cell, number_sum, pad_trim
+from landloom.functions.arrays import acres_texts, aligned_cell, field, first_per_id, json_text, list_cell, number_sum
 from landloom.functions.numbers import id_text, number_text, parse_number
 from landloom.functions.text import clean_cell, group_label, group_label_plain, mailing_code
 from landloom.missing import is_missing
@@ -17,38 +17,45 @@ CORE = ("id", "full_name", "legal_address", "mailing_address", "acres", "city",
 PREFERRED = (*CORE, "lands_count", "id_list", "acres_list", *ALIGNED)
 
 
-def parcel_entries(aligned: Sequence[str]) -> Column:
-    """The parcels of an owner row: its lists side by side, the row's own id and acres where a list is empty."""
+def with_parcels(df: DataFrame, aligned: Sequence[str]) -> DataFrame:
+    """Owner rows with `parcels__`: their lists side by side, the row's own id and acres where a list is empty.
+
+    Built in steps, each on the columns of the one before, so that no
+    expression is repeated within the plan.
+    """
     own_id = F.filter(F.array(id_text(F.col("id"))), lambda x: x != "")
     own_acres = F.filter(F.array(number_text(parse_number(F.col("acres")))), lambda x: x != "")
-    ids = F.transform(list_cell(F.col("id_list"), pipes=True), lambda x: id_text(x))
-    acres = acres_texts(list_cell(F.col("acres_list"), pipes=True))
-    ids = F.when(F.size(ids) > 0, ids).otherwise(own_id)
-    acres = F.when(F.size(acres) > 0, acres).otherwise(own_acres)
-    size = F.greatest(F.size(ids), F.size(acres), F.lit(1))
-    lists = {c: aligned_cell(F.col(f"`{c}`"), size) for c in aligned}
-    longest = F.greatest(size, *[F.size(x) for x in lists.values()]) if lists else size
-    blank = F.lit("")
-    columns = {"id": pad_trim(ids, longest, blank), "acres": pad_trim(acres, longest, blank), **{c: pad_trim(x, longest, blank) for c, x in lists.items()}}
-    return F.arrays_zip(*[x.alias(n) for n, x in columns.items()])
+    rows = df.withColumns({"i__": list_cell(F.col("id_list"), pipes=True), "a__": list_cell(F.col("acres_list"), pipes=True)})
+    rows = rows.withColumns({
+        "i__": F.when(F.size("i__") > 0, F.transform("i__", lambda x: id_text(x))).otherwise(own_id),
+        "a__": F.when(F.size("a__") > 0, acres_texts(F.col("a__"))).otherwise(own_acres),
+    })
+    rows = rows.withColumn("n__", F.greatest(F.size("i__"), F.size("a__"), F.lit(1)))
+    names = [f"l{k}__" for k in range(len(aligned))]
+    if aligned:
+        rows = rows.withColumns({n: aligned_cell(F.col(f"`{c}`"), F.col("n__")) for n, c in zip(names, aligned)})
+    rows = rows.withColumn("m__", F.greatest(F.col("n__"), F.lit(1), *[F.size(n) for n in names]))
+    columns = {"id": "i__", "acres": "a__", **dict(zip(aligned, names))}
+    entry = lambda i: F.struct(*[F.coalesce(F.get(F.col(c), i), F.lit("")).alias(n) for n, c in columns.items()])
+    rows = rows.withColumn("parcels__", F.transform(F.sequence(F.lit(0), F.col("m__") - 1), entry))
+    return rows.drop("i__", "a__", "n__", "m__", *names)
 
 
 def measures(df: DataFrame, aligned: Sequence[str]) -> DataFrame:
     """Owner rows with their parcels, count, largest parcel and its id, total acres, first id."""
-    rows = df.withColumn("parcels__", parcel_entries(aligned))
-    own = F.coalesce(parse_number(F.col("acres")), F.lit(0.0))
+    rows = with_parcels(df, aligned)
+    rows = rows.withColumns({"own_acres__": F.coalesce(parse_number(F.col("acres")), F.lit(0.0)), "own_id__": id_text(F.col("id")), "given__": parse_number(F.col("lands_count"))})
+    rows = rows.withColumn("sizes__", F.transform("parcels__", lambda p: F.struct(F.coalesce(parse_number(p["acres"]), F.lit(0.0)).alias("acres"), id_text(p["id"]).alias("id"))))
+    start = F.struct(F.col("own_id__").alias("id"), F.col("own_acres__").alias("acres"))
     best = F.aggregate(
-        F.col("parcels__"), F.struct(id_text(F.col("id")).alias("id"), own.alias("acres")),
-        lambda b, p: F.when(F.coalesce(parse_number(p["acres"]), F.lit(0.0)) > b["acres"], F.struct(id_text(p["id"]).alias("id"), F.coalesce(parse_number(p["acres"]), F.lit(0.0)).alias("acres")))
-        .when((F.coalesce(parse_number(p["acres"]), F.lit(0.0)) == b["acres"]) & (b["id"] == "") & (id_text(p["id"]) != ""), F.struct(id_text(p["id"]).alias("id"), b["acres"].alias("acres")))
-        .otherwise(b))
-    given = parse_number(F.col("lands_count"))
-    total = number_sum(field(F.col("parcels__"), "acres"))
-    first = F.coalesce(F.nullif(id_text(F.col("id")), F.lit("")), F.get(F.filter(F.transform(F.col("parcels__"), lambda p: id_text(p["id"])), lambda x: x != ""), F.lit(0)), F.lit(""))
+        F.col("sizes__"), start,
+        lambda b, p: F.when((p["acres"] > b["acres"]) | ((p["acres"] == b["acres"]) & (b["id"] == "") & (p["id"] != "")), F.struct(p["id"].alias("id"), p["acres"].alias("acres"))).otherwise(b))
+    first = F.coalesce(F.nullif(F.col("own_id__"), F.lit("")), F.get(F.filter(F.transform("sizes__", lambda p: p["id"]), lambda x: x != ""), F.lit(0)), F.lit(""))
+    rows = rows.withColumns({"best__": best, "first__": first, "total__": F.aggregate("sizes__", F.lit(0.0), lambda a, p: a + p["acres"])})
     return rows.withColumns({
-        "count__": F.when(given > 0, F.bround(given)).otherwise(F.size("parcels__")).cast("long"), "best__": best,
-        "total__": F.when(total > 0, total).otherwise(own), "first__": first,
-    })
+        "count__": F.when(F.col("given__") > 0, F.bround("given__")).otherwise(F.size("parcels__")).cast("long"),
+        "total__": F.when(F.col("total__") > 0, F.col("total__")).otherwise(F.col("own_acres__")),
+    }).drop("own_id__", "own_acres__", "given__", "sizes__")
 
 
 def rollup_mailing(df: DataFrame, area: Sequence[str], order: Sequence[str], *, aligned: Sequence[str] = ALIGNED, id_mode: str = "best", name_mode: str = "primary", clear_source: bool = True) -> DataFrame:
@@ -79,10 +86,11 @@ def rollup_mailing(df: DataFrame, area: Sequence[str], order: Sequence[str], *,
         F.array_sort(F.collect_list(F.struct(place.alias("o"), F.col("parcels__").alias("p"), clean_cell(F.col("full_name")).alias("n")))).alias("members__"))
     merged = first_per_id(F.flatten(F.transform("members__", lambda m: m["p"])))
     groups = groups.withColumn("parcels__", merged)
+    groups = groups.withColumn("total__", number_sum(field(F.col("parcels__"), "acres"))).withColumn("code__", mailing_code(F.col("r")["mailing_address"]))
     r = F.col("r")
     tied = F.size(F.filter("counts__", lambda c: c == F.col("most__"))) > 1
     largest, own = r["best__"]["id"], r["first__"]
-    code = mailing_code(r["mailing_address"])
+    code = F.col("code__")
     best_id = F.when(tied, F.coalesce(F.nullif(largest, F.lit("")), own)).otherwise(F.coalesce(F.nullif(own, F.lit("")), largest))
     made = F.concat(F.lit("MA#"), code)
     chosen = {"best": F.coalesce(F.nullif(best_id, F.lit("")), made), "code": made, "own": F.coalesce(F.nullif(clean_cell(r["id"]), F.lit("")), made)}[id_mode]
@@ -94,7 +102,7 @@ def rollup_mailing(df: DataFrame, area: Sequence[str], order: Sequence[str], *,
         label = F.concat(F.lit("MA#"), code, F.lit(" | "), clean_cell(r["full_name"]), F.when(others > 0, F.concat(F.lit(" (+"), others.cast("string"), F.lit(")"))).otherwise(""))
     else:
         label = group_label_plain(code, F.size(names))
-    total = number_sum(field(F.col("parcels__"), "acres"))
+    total = F.col("total__")
     values = {
         "id": chosen, "full_name": label, "legal_address": F.lit(""), "mailing_address": clean_cell(r["mailing_address"]),
         "acres": number_text(F.when(total > 0, total).otherwise(F.col("rows_acres__"))), "lands_count": F.size("parcels__").cast("int"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landloom.functions.arrays import json_text, list_cell_loose, pad_trim, recomputed_acres
+from landloom.functions.arrays import json_text, list_cell_loose, recomputed_acres
 from landloom.functions.numbers import number_text, whole_exact
 from landloom.functions.text import clean_scalar
 from landloom.missing import M5, is_missing
@@ -66,23 +66,26 @@ def subtract_parcels(df: DataFrame, keys: DataFrame, area: Sequence[str], row: s
     n_valid, n_hit, n_left = F.size("valid__"), F.size("hit__"), F.size("left__")
     outcome = F.when(n_valid == 0, "skipped_kept").when(n_hit == 0, "kept").when(n_left == 0, "dropped").otherwise("partial")
     marked = marked.withColumn("outcome", outcome)
+    # Lists become columns of their own first, so that no cell is parsed once per item.
+    names = {c: f"v{k}__" for k, c in enumerate(present)}
+    marked = marked.withColumns({n: list_cell_loose(F.col(f"`{c}`")) for c, n in names.items()}) if present else marked
     partial = F.col("outcome") == "partial"
-    pick = lambda array: F.transform("left__", lambda i: F.get(array, i))
-    remaining = F.transform(pick(F.col("ids__")), lambda x: land_text(x))
+    pick = lambda name: F.transform("left__", lambda i: F.coalesce(F.get(F.col(name), i), F.lit("")))
+    marked = marked.withColumns({"ids_left__": F.transform(pick("ids__"), lambda x: land_text(x)), **{n: pick(n) for n in names.values()}})
     out = {}
-    for c in present:
-        values = F.transform(pick(pad_trim(list_cell_loose(F.col(f"`{c}`")), F.size("ids__"), F.lit(""))), lambda x: F.when(is_missing(x, M5), "").otherwise(x))
+    for c, n in names.items():
+        values = F.transform(n, lambda x: F.when(is_missing(x, M5), "").otherwise(x))
         out[c] = F.when(partial & F.col("list__"), json_text(values, spaced=False)).otherwise(F.col(f"`{c}`"))
     if has_list:
-        out[ids] = F.when(partial, json_text(remaining, spaced=False)).otherwise(F.col(f"`{ids}`"))
-    out[ident] = F.when(partial, F.get(remaining, F.lit(0))).otherwise(F.col(f"`{ident}`"))
+        out[ids] = F.when(partial, json_text(F.col("ids_left__"), spaced=False)).otherwise(F.col(f"`{ids}`"))
+    out[ident] = F.when(partial, F.get("ids_left__", F.lit(0))).otherwise(F.col(f"`{ident}`"))
     for c in counts:
         if c in df.columns:
             out[c] = F.when(partial, n_left.cast(df.schema[c].dataType)).otherwise(F.col(f"`{c}`"))
     if "acres_list" in present and acres in df.columns:
-        fresh = recomputed_acres(pick(pad_trim(list_cell_loose(F.col("acres_list")), F.size("ids__"), F.lit(""))))
-        made = number_text(fresh, 6) if dict(df.dtypes)[acres] == "string" else fresh
-        out[acres] = F.when(partial & fresh.isNotNull(), made).otherwise(F.col(f"`{acres}`"))
+        marked = marked.withColumn("fresh__", F.when(partial, recomputed_acres(F.col(names["acres_list"]))))
+        made = number_text(F.col("fresh__"), 6) if dict(df.dtypes)[acres] == "string" else F.col("fresh__")
+        out[acres] = F.when(F.col("fresh__").isNotNull(), made).otherwise(F.col(f"`{acres}`"))
     removed = json_text(F.transform(F.transform("hit__", lambda i: F.get(F.col("ids__"), i)), lambda x: land_text(x)), spaced=False)
     return marked.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns], "outcome", n_valid.alias("seen"), n_hit.alias("removed"), n_left.alias("remaining"), removed.alias("removed_ids"))
 

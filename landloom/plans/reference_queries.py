@@ -251,7 +251,7 @@ def max_index(spark: SparkSession, d: str) -> DataFrame:
 @query("""with t as (select row_no, case when full_name is null or lower(trim(full_name)) in ('','nan','none','null','nat') then null else substr(trim(regexp_replace(full_name, '\\s+', ' ', 'g')), 1, 150) end full_name,
       case when zip is null or lower(trim(zip)) in ('','nan','none','null','nat') then null else substr(trim(zip), 1, 10) end zip,
       case when acres is null or lower(trim(acres)) in ('','nan','none','null','nat') then null else try_cast(replace(trim(acres), ',', '') as double) end acres, owned_lands from load_rows
-      where not ((land_id is null or lower(trim(land_id)) in ('','nan','none','null','nat')) and not regexp_matches(coalesce(id_list, ''), '\\d')))
+      where not ((land_id is null or lower(trim(land_id)) in ('','nan','none','null','nat')) and not regexp_matches(coalesce(id_list, ''), '(^|[^A-Za-z0-9])\\d')))
     select row_no, full_name, zip, acres, cast(case when owned_lands is not null then greatest(owned_lands, 0) end as int) owned_lands from t""")
 def typed_payload(spark: SparkSession, d: str) -> DataFrame:
     typed, _ = load.typed_rows(table(spark, d, "load_rows").withColumnRenamed("land_id", "id"))
@@ -406,8 +406,7 @@ def split_name(spark: SparkSession, d: str) -> DataFrame:
 def address_zip_state(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
     text = F.format_string("%d MAIN ST, SPRINGFIELD, TX %05d-1234", "c_custkey", 10_000 + F.col("c_custkey") % 80_000)
-    p = enrich.parse_line(text)
-    return c.select("c_custkey", p.alias("p")).select("c_custkey", X.smart_title(F.col("p")["city"]).alias("city"), F.col("p")["state"].alias("state"), F.col("p")["zip"].alias("zip"))
+    return enrich.parse_lines(c.select("c_custkey", text.alias("t")), "t", "p").select("c_custkey", X.smart_title(F.col("p")["city"]).alias("city"), F.col("p")["state"].alias("state"), F.col("p")["zip"].alias("zip"))
 
 
 @query(f"""with t as (select row_no, upper(trim(regexp_replace(mailing_address, '[\\n\\t%]', ' ', 'g'))) a from load_rows where not {MISS.format('mailing_address')})
