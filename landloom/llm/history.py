@@ -214,12 +214,14 @@ def aliases(rows: DataFrame, short: DataFrame, batches: int) -> DataFrame:
     buckets = max(1, round(usable.count() / GRAPH_NODES))
     near = _search(nodes, queries, buckets, [f"{c}_n" for c in columns], [f"{c}_q" for c in columns], _check_slips)
     near = cut(near.select("row_id_n", "id_n", "row_id_q", "id_q").distinct(), "near")
-    texts = rows.filter("house is not null").select("row_id", "area", "name", "address")
+    texts = rows.filter("house is not null").select("row_id", "area", "name", "address", "parcels")
     wanted = near.select(F.col("row_id_n").alias("row_id")).union(near.select("row_id_q")).distinct()
     texts = cut(texts.join(wanted, "row_id", "left_semi"), "texts")
-    left = texts.select(F.col("row_id").alias("row_id_n"), "area", F.col("name").alias("name_n"), F.col("address").alias("address_n"))
-    right = texts.select(F.col("row_id").alias("row_id_q"), F.col("area").alias("area_q"), F.col("name").alias("name_q"), F.col("address").alias("address_q"))
-    pairs = near.join(left, "row_id_n").join(right, "row_id_q").filter("area = area_q")
+    left = texts.select(F.col("row_id").alias("row_id_n"), "area", F.col("name").alias("name_n"), F.col("address").alias("address_n"), F.col("parcels").alias("parcels_n"))
+    right = texts.select(F.col("row_id").alias("row_id_q"), F.col("area").alias("area_q"), F.col("name").alias("name_q"), F.col("address").alias("address_q"), F.col("parcels").alias("parcels_q"))
+    # Ids that one row holds side by side are two parcels, however alike.
+    beside = F.array_contains("parcels_n", F.col("id_q").cast("string")) | F.array_contains("parcels_q", F.col("id_n").cast("string"))
+    pairs = near.join(left, "row_id_n").join(right, "row_id_q").filter("area = area_q").filter(~beside)
     area_type = rows.schema["area"].dataType.simpleString()
     same = pairs.select("area", "id_n", "id_q", "name_n", "address_n", "name_q", "address_q").mapInPandas(_same_record, f"area {area_type}, id_n long, id_q long").distinct()
     same = cut(same.withColumn("a", F.xxhash64("area", "id_n")).withColumn("b", F.xxhash64("area", "id_q")), "same")
