@@ -251,7 +251,8 @@ def max_index(spark: SparkSession, d: str) -> DataFrame:
 @query("""with t as (select row_no, case when full_name is null or lower(trim(full_name)) in ('','nan','none','null','nat') then null else substr(trim(regexp_replace(full_name, '\\s+', ' ', 'g')), 1, 150) end full_name,
       case when zip is null or lower(trim(zip)) in ('','nan','none','null','nat') then null else substr(trim(zip), 1, 10) end zip,
       case when acres is null or lower(trim(acres)) in ('','nan','none','null','nat') then null else try_cast(replace(trim(acres), ',', '') as double) end acres, owned_lands from load_rows
-      where not ((land_id is null or lower(trim(land_id)) in ('','nan','none','null','nat')) and not regexp_matches(coalesce(id_list, ''), '(^|[^A-Za-z0-9])\\d')))
+      where not (land_id is null or lower(trim(land_id)) in ('','nan','none','null','nat'))
+        or len(list_filter(string_split(regexp_replace(coalesce(id_list, ''), '[\\[\\]"'']', '', 'g'), case when contains(id_list, '|') and not starts_with(trim(id_list), '[') then '|' else ',' end), lambda x: regexp_full_match(trim(x), '-?\\d+(\\.\\d+)?'))) > 0)
     select row_no, full_name, zip, acres, cast(case when owned_lands is not null then greatest(owned_lands, 0) end as int) owned_lands from t""")
 def typed_payload(spark: SparkSession, d: str) -> DataFrame:
     typed, _ = load.typed_rows(table(spark, d, "load_rows").withColumnRenamed("land_id", "id"))
