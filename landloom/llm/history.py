@@ -152,8 +152,10 @@ def parcel_items(rows: DataFrame, area: str, land: str, ids: str) -> DataFrame:
     """The rows with `parcels`: the distinct parcel keys in the land id and the id list, formatting aside."""
     kind = dict(rows.dtypes)[ids]
     listed = F.transform(F.col(ids), lambda x: x.cast("string")) if kind.startswith("array") else F.regexp_extract_all(F.col(ids), F.lit(ID_TEXT), 0)
-    every = F.concat(F.array(F.col(land).cast("string")), F.coalesce(listed, F.array().cast("array<string>")))
-    return rows.withColumn("parcels", F.array_compact(F.array_distinct(F.transform(F.filter(every, lambda x: ~is_missing(x, TABLE_TOKENS)), parcel_key))))
+    every = F.array_distinct(F.concat(F.array(F.col(land).cast("string")), F.coalesce(listed, F.array().cast("array<string>"))))
+    # Plain numbers without a leading zero, which most are, are their own key.
+    key = lambda x: F.when(x.rlike("^[1-9][0-9]*$"), x).when(~is_missing(x, TABLE_TOKENS), parcel_key(x))
+    return rows.withColumn("parcels", F.array_distinct(F.array_compact(F.transform(every, key))))
 
 
 def history_rows(rows: DataFrame, *, area: str, segment: Column, source: str, key: str, land: str, ids: str, name: str, address: str, acres: str) -> DataFrame:
@@ -214,9 +216,10 @@ def aliases(rows: DataFrame, short: DataFrame, batches: int) -> DataFrame:
     buckets = max(1, round(usable.count() / GRAPH_NODES))
     near = _search(nodes, queries, buckets, [f"{c}_n" for c in columns], [f"{c}_q" for c in columns], _check_slips)
     near = cut(near.select("row_id_n", "id_n", "row_id_q", "id_q").distinct(), "near")
-    texts = rows.filter("house is not null").select("row_id", "area", "name", "address", "parcels")
     wanted = near.select(F.col("row_id_n").alias("row_id")).union(near.select("row_id_q")).distinct()
-    texts = cut(texts.join(wanted, "row_id", "left_semi"), "texts")
+    # Parcels come from the table that holds them already; they are not parsed again.
+    held = short.select("row_id", "parcels").join(wanted, "row_id", "left_semi").dropDuplicates(["row_id"])
+    texts = cut(rows.select("row_id", "area", "name", "address").join(held, "row_id"), "texts")
     left = texts.select(F.col("row_id").alias("row_id_n"), "area", F.col("name").alias("name_n"), F.col("address").alias("address_n"), F.col("parcels").alias("parcels_n"))
     right = texts.select(F.col("row_id").alias("row_id_q"), F.col("area").alias("area_q"), F.col("name").alias("name_q"), F.col("address").alias("address_q"), F.col("parcels").alias("parcels_q"))
     # Ids that one row holds side by side are two parcels, however alike.
