@@ -205,7 +205,7 @@ def classify(html: str | None, how: str = "sum") -> dict:
     root = tree(html)
     text, name = root.text, title(root)
     lower = text.lower()
-    out = {"status": "", "acreage": None, "raw_acreage": "", "method": "", "property_id": "", "quick_ref_id": "", "detail": "", "rows": []}
+    out = {"title": name, "status": "", "acreage": None, "raw_acreage": "", "method": "", "property_id": "", "quick_ref_id": "", "detail": "", "rows": []}
     if name.lower() == "error" or any(t in lower for t in ERROR_TEXTS):
         return out | {"status": "site_error", "detail": "generic_error_page"}
     if any(t in text for t in ABSENT_TEXTS):
@@ -234,10 +234,11 @@ def parse_page(html: Column, how: str = "sum") -> Column:
         import json
 
         for batch in batches:
-            parsed = [classify(h) | {"title": title(tree(h))} for h in batch.where(batch.notna(), None)] if how == "sum" else [classify(h, how) | {"title": title(tree(h))} for h in batch.where(batch.notna(), None)]
+            parsed = [classify(h, how) for h in batch.where(batch.notna(), None)]
             yield pd.DataFrame([{**p, "rows": json.dumps(p["rows"], ensure_ascii=False)} for p in parsed], columns=["status", "acreage", "raw_acreage", "method", "property_id", "quick_ref_id", "detail", "title", "rows"])
 
-    return run(html)
+    # Else a filter on the result would have every page parsed once more.
+    return run.asNondeterministic()(html)
 
 
 def land_row_array(rows: Column) -> Column:

@@ -98,9 +98,9 @@ def owner_rep_nonblank_first(spark: SparkSession, d: str) -> DataFrame:
     return owners.group_owners(_orders(spark, d), ["area"], ["o_orderkey"]).select("full_name", "o_orderkey")
 
 
-@query("""select coalesce(a, 'row ' || k) grp, count(*) n_rows from (select case when o_orderpriority = '5-LOW' then null else o_orderpriority end a, o_orderkey k from orders where o_orderstatus = 'P') group by 1""")
+@query("""select coalesce(a, 'row ' || k) grp, count(*) n_rows from (select case when o_orderpriority = '5-LOW' then null else o_orderpriority end a, o_orderkey k from orders) group by 1""")
 def owner_blank_key_separate(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").filter("o_orderstatus = 'P'")
+    o = table(spark, d, "orders")
     rows = o.select(F.lit("1").alias("area"), "o_orderkey", F.lit("n").alias("full_name"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("mailing_address"), F.lit("").alias("legal_address"), F.lit(1.0).alias("acres"), F.lit("1").alias("id"))
     grouped = owners.group_owners(rows, ["area"], ["o_orderkey"])
     return grouped.select(F.coalesce("mailing_address", F.concat(F.lit("row "), F.col("o_orderkey").cast("string"))).alias("grp"), F.col("lands_count").cast("bigint").alias("n_rows"))
@@ -283,21 +283,20 @@ def _links(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return match.source_records(rows, ["county_id"], "row_no")[0], stored
 
 
-# Ids of the simple forms, so that SQL need not parse list cells: one id per row.
-_SRC = """s as (select county_id, row_no, trim(land_id) land, full_name n, owned_lands lands from load_rows where regexp_full_match(trim(land_id), '\\d+') and regexp_full_match(coalesce(trim(id_list), ''), '\\d*')
-      and (coalesce(trim(id_list), '') = '' or cast(id_list as bigint) = cast(land_id as bigint))),
-    b as (select unique_id, county_id, regexp_replace(trim(land_id), '^0*(\\d+)\\.0+$', '\\1') land, full_name n, owned_lands lands, coalesce(list_distinct(id_list), []) ids, coalesce(len(id_list), 0) size from db_owner),
-    c as (select s.*, b.unique_id, b.land bland, b.n bn, b.lands blands, b.ids, b.size, list_contains(b.ids, cast(s.land as bigint)) own, try_cast(b.land as bigint) bnum
-      from s join b on s.county_id = b.county_id and (s.land = b.land or list_contains(case when b.size > 0 then b.ids else [try_cast(b.land as bigint)] end, cast(s.land as bigint)))),
+# The land id is the row's only parcel here, so that SQL need not parse list cells.
+_LAND = "case when regexp_full_match(trim({0}), '\\d+\\.0+') then regexp_replace(regexp_replace(trim({0}), '\\.0+$', ''), '^0+(\\d)', '\\1') else trim({0}) end"
+_SRC = f"""s as (select county_id, row_no, {_LAND.format('land_id')} land, try_cast(regexp_replace(trim(land_id), '\\.0+$', '') as bigint) num, full_name n, owned_lands lands from load_rows where regexp_full_match(trim(land_id), '-?\\d+(\\.0+)?')),
+    b as (select unique_id, county_id, {_LAND.format('land_id')} land, full_name n, owned_lands lands, coalesce(list_distinct(id_list), []) ids, coalesce(len(id_list), 0) size from db_owner),
+    c as (select s.*, b.unique_id, b.land bland, b.n bn, b.lands blands, b.ids, b.size, list_contains(b.ids, s.num) own, try_cast(b.land as bigint) bnum
+      from s join b on s.county_id = b.county_id and (s.land = b.land or list_contains(case when b.size > 0 then b.ids else [try_cast(b.land as bigint)] end, s.num))),
     x as (select *, lower(trim(regexp_replace(coalesce(n, ''), '\\s+', ' ', 'g'))) ln, lower(trim(regexp_replace(coalesce(bn, ''), '\\s+', ' ', 'g'))) lb, case when size > 0 then size else coalesce(blands, 0) end theirs from c),
-    scored as (select county_id, row_no, unique_id, cast((case when land = bland then 10000 else 0 end) + (case when own then 350 else 0 end) + (case when bnum = cast(land as bigint) then 150 else 0 end)
+    scored as (select county_id, row_no, unique_id, cast((case when land = bland then 10000 else 0 end) + (case when own then 350 else 0 end) + (case when bnum = num then 150 else 0 end)
       + (case when ln = '' or lb = '' then 0 when ln = lb then 30 when contains(lb, ln) or contains(ln, lb) then 10 else 0 end)
       + (case when theirs > 0 then (case when theirs = 1 then 25 else -least(abs(1 - theirs), 25) end) else 0 end) + (case when lands = blands then 10 else 0 end) as bigint) score, cast(case when own then 1 else 0 end as int) overlap from x)"""
 
 
 def _simple(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows = table(spark, d, "load_rows").filter("trim(land_id) rlike '^[0-9]+$' and coalesce(trim(id_list), '') rlike '^[0-9]*$' and (coalesce(trim(id_list), '') = '' or try_cast(id_list as bigint) = try_cast(land_id as bigint))")
-    rows = rows.select("county_id", "row_no", F.col("land_id").alias("id"), "full_name", F.col("owned_lands").alias("lands_count"), F.trim("land_id").alias("id_list"))
+    rows = table(spark, d, "load_rows").select("county_id", "row_no", F.col("land_id").alias("id"), "full_name", F.col("owned_lands").alias("lands_count"))
     return match.source_records(rows, ["county_id"], "row_no")[0], table(spark, d, "db_owner")
 
 
@@ -549,9 +548,9 @@ def land_rows_agg(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").filter("l_tax <> 0").groupBy("l_orderkey").agg(F.round(F.sum("l_tax"), 2).alias("total"), F.max("l_tax").alias("largest"))
 
 
-@query("select o_orderkey, 1 attempt, 'https://esearch.site' || o_custkey || '.org/Property/View/R' || o_orderkey url, 'success' status from orders where o_orderkey % 3 = 0")
+@query("select o_orderkey, 1 attempt, 'https://esearch.site' || o_custkey || '.org/Property/View/R' || o_orderkey url, 'success' status from orders")
 def page_first_accepted(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").filter("o_orderkey % 3 = 0").select("o_orderkey", landpage.search_base(F.concat(F.lit("www.site"), "o_custkey", F.lit(".org/home"))).alias("base"))
+    o = table(spark, d, "orders").select("o_orderkey", landpage.search_base(F.concat(F.lit("www.site"), "o_custkey", F.lit(".org/home"))).alias("base"))
     o = o.withColumn("urls", F.transform(landpage.id_candidates(F.col("o_orderkey").cast("string")), lambda i: landpage.page_address(F.col("base"), i)))
     pages = o.select(F.explode("urls").alias("url")).withColumn("html", F.when(F.col("url").contains("/R"), F.format_string(_PAGE, F.lit(1), F.lit(1.0))).otherwise("<title>Error</title>"))
     done = landpage.fill_from_pages(o, pages, ["o_orderkey"])
