@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landloom.functions.arrays import acres_texts, aligned_cell, field, first_per_id, json_text, list_cell, number_sum
+from landloom.functions.arrays import acres_texts, aligned_cell, field, json_text, list_cell, number_sum
 from landloom.functions.numbers import id_text, number_text, parse_number
 from landloom.functions.text import clean_cell, group_label, group_label_plain, mailing_code
 from landloom.missing import is_missing
@@ -83,9 +83,13 @@ def rollup_mailing(df: DataFrame, area: Sequence[str], order: Sequence[str], *,
     groups = members.groupBy(*area, "key__").agg(
         F.min_by(whole, rank).alias("r"), F.max("count__").alias("most__"), F.min(place).alias("place__"),
         F.collect_list("count__").alias("counts__"), F.sum(F.coalesce(parse_number(F.col("acres")), F.lit(0.0))).alias("rows_acres__"),
-        F.array_sort(F.collect_list(F.struct(place.alias("o"), F.col("parcels__").alias("p"), clean_cell(F.col("full_name")).alias("n")))).alias("members__"))
-    merged = first_per_id(F.flatten(F.transform("members__", lambda m: m["p"])))
-    groups = groups.withColumn("parcels__", merged)
+        F.array_sort(F.collect_list(F.struct(place.alias("o"), clean_cell(F.col("full_name")).alias("n")))).alias("members__"))
+    # Each id once, the first: reduced by id, so a hot address is dealt over many tasks until its lists are made.
+    items = members.select(*area, "key__", place.alias("o"), F.posexplode("parcels__").alias("pos", "p")).withColumn("k__", F.lower(id_text(F.col("p")["id"])))
+    items = items.withColumn("k__", F.when(F.col("k__") == "", F.to_json(F.struct("o", "pos"))).otherwise(F.col("k__")))
+    firsts = items.groupBy(*area, "key__", "k__").agg(F.min_by(F.struct("o", "pos", "p"), F.struct("o", "pos")).alias("f"))
+    lists = firsts.groupBy(*area, "key__").agg(F.transform(F.array_sort(F.collect_list("f")), lambda f: f["p"]).alias("parcels__"))
+    groups = groups.join(lists, [*area, "key__"])
     groups = groups.withColumn("total__", number_sum(field(F.col("parcels__"), "acres"))).withColumn("code__", mailing_code(F.col("r")["mailing_address"]))
     r = F.col("r")
     tied = F.size(F.filter("counts__", lambda c: c == F.col("most__"))) > 1
