@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landloom.functions.text import key_text
@@ -32,10 +32,10 @@ def _slips(core: str) -> list[str]:
     return ["".join(letters), *sorted({"".join(letters[:i] + letters[i + 1:]) for i in range(len(letters))})]
 
 
-def _halves(core: str, size: int) -> list[str]:
-    """The first and the last letters, which survive several slips in the other half."""
+def _halves(core: str) -> list[str]:
+    """The first and the last four letters, which survive several slips in the other half."""
     c = core.replace(" ", "")
-    return ["<" + c[:size], ">" + c[-size:]] if len(c) > size else []
+    return ["<" + c[:4], ">" + c[-4:]] if len(c) > 4 else []
 
 
 def rewritings(name: Name) -> list[str]:
@@ -43,14 +43,12 @@ def rewritings(name: Name) -> list[str]:
 
     Nicknames, legal forms and word order have been made canonical by the
     parser; legal forms may be left out, so no form has them. Further given
-    names may be initials or left out, so the forms of a person that allow for
-    slips carry the first one only; the coarser forms by halves of the surname carry all.
+    names may be initials or left out, so the forms of a person carry the first
+    one only: two names that agree in further ones or their initials share it too.
     """
-    tail = f"|{name.suffix}|{name.series}|"
     given = name.given[:1] if name.kind == "person" else name.given
-    head = f"{name.kind}|{' '.join(given)}{tail}"
-    whole = f"{name.kind}|{' '.join(name.given)}{tail}"
-    return [head + c for c in _slips(name.core)] + [whole + c for c in _halves(name.core, 5 if name.kind == "person" and len(name.given) < 2 else 4)]
+    head = f"{name.kind}|{' '.join(given)}|{name.suffix}|{name.series}|"
+    return [head + c for c in (*_slips(name.core), *_halves(name.core))]
 
 
 def cost(a: Name, b: Name) -> float:
@@ -91,6 +89,17 @@ def _may_be_slip(a: Name, b: Name, na: int, nb: int) -> bool:
     return a.core == b.core or min(na, nb) <= RARE or SLIP_RATIO * min(na, nb) <= max(na, nb)
 
 
+def _may_link(a: str, b: str) -> Column:
+    """Conditions of `cost` and `_may_be_slip` on surnames and spreads; keeps every pair that they keep."""
+    x, y = (F.replace(F.col(f"{s}.core"), F.lit(" "), F.lit("")) for s in (a, b))
+    size = F.greatest(F.length(x), F.length(y))
+    most = F.when(size < 4, 0).when(size < 6, 1).when(size < 9, 2).otherwise(3)
+    # A swap of neighbours is one slip but two edits here.
+    far = F.levenshtein(x, y, 6)
+    low, high = (f(F.col(f"{a}.spread"), F.col(f"{b}.spread")) for f in (F.least, F.greatest))
+    return (F.col(f"{a}.core") == F.col(f"{b}.core")) | (((low <= RARE) | (SLIP_RATIO * low <= high)) & (far >= 0) & (far <= 2 * most))
+
+
 def _name(kind: str, core: str, given: str, suffix: str, series: str, legal: str) -> Name:
     return Name(kind, core, tuple(given.split()) if given else (), suffix, series, legal)
 
@@ -192,13 +201,13 @@ def owners(records: DataFrame) -> DataFrame:
     nodes = parsed.filter(read).groupBy("node", "area", *_PARTS).agg(F.sum("n").alias("n")).join(spread, "core")
     nodes = cut(nodes.select("node", "area", *_PARTS, "n", "spread"), "nodes")
     forms = nodes.select("area", "node", *_PARTS).mapInPandas(_form_batches, "node long, form string").select("node", F.xxhash64("form").alias("form"))
-    # Dealt by form once: the count of its names and the join use the same exchange.
-    forms = forms.repartition("form")
-    # Forms of a single name leave before the join.
-    shared = forms.groupBy("form").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last").select("form")
-    met = cut(forms.join(shared, "form", "left_semi"), "forms")
+    # Forms of a single name leave before the join; forms are dealt once for that.
+    each = Window.partitionBy("form")
+    shared = forms.withColumns({"first": F.min("node").over(each), "last": F.max("node").over(each)}).filter("first <> last").select("node", "form")
+    met = cut(shared.join(nodes.select("node", "core", "spread"), "node"), "forms")
     p, q = met.alias("p"), met.alias("q")
-    pairs = p.join(q, (F.col("p.form") == F.col("q.form")) & (F.col("p.node") < F.col("q.node"))).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+    on = (F.col("p.form") == F.col("q.form")) & (F.col("p.node") < F.col("q.node")) & _may_link("p", "q")
+    pairs = p.join(q, on).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
     one = nodes.select(F.col("node").alias("a"), F.col("spread").alias("spread_a"), *[F.col(x).alias(f"{x}_a") for x in _PARTS])
     two = nodes.select(F.col("node").alias("b"), F.col("spread").alias("spread_b"), *[F.col(x).alias(f"{x}_b") for x in _PARTS])
     links = cut(pairs.join(one, "a").join(two, "b").mapInPandas(_verify_batches, "a long, b long"), "links")

@@ -38,6 +38,13 @@ def test_pairs_and_ambiguous_short_names(spark):
     assert got == {(2 * k, 2 * k + 1) for k in range(len(SAME) - 1)} | {(508, 509)}
 
 
+@pytest.mark.parametrize(("a", "b"), [("BEDBALDELMON KENNETH", "BEDBXLDXLMXN KENNETH"), ("BEDBALDELMON KENNETH", "BEXBXLDXLMON KENNETH"), ("BEDBALDEL KENNETH ROBERT", "BEDBALXXX KENNETH"), ("BEDBALDEL KENNETH ROBERT", "XXXBALDEL KENNETH R"), ("BEDBALDEL KENNETH ROBERT", "BEDBALXXX KENNETH R")])
+def test_several_slips(spark, a, b):
+    assert cost(parse(a), parse(b)) < 99
+    df = spark.createDataFrame([(1, 1, a), (1, 2, b)], "county_id int, row_no long, full_name string")
+    assert [tuple(r) for r in same_owner_pairs(name_records(df, "county_id", "row_no", "full_name")).collect()] == [(1, 2)]
+
+
 def test_empty(spark):
     records = name_records(spark.createDataFrame([], "county_id int, row_no long, full_name string, owner string"), "county_id", "row_no", "full_name")
     assert owners(records).count() == 0 and same_owner_pairs(records).count() == 0
