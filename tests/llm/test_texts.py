@@ -45,6 +45,25 @@ def test_leaks(spark):
     assert find_leaks(df, "doc_id", "text", items.limit(0), "item_id", "item_text").count() == 0
 
 
+def test_leaks_of_passages_with_few_seeds(spark):
+    # The passage has one figure that is long enough to be a seed; its other figures are short.
+    passage = "to repair the transmission line on notice of 42 days the south boundary of it runs S 16 34 E for about 2135.5 feet and then leaves the road"
+    docs = [(1, f"Taxes were paid late because the notice had been sent to an old box. {passage}. The barn was burned."), (2, passage.replace("42", "9").replace("16 34", "8 7").replace("2135.5", "12.25")), (3, " ".join(passage.split()[9:]))]
+    items = [(i, f"The owner has the right {passage} to the north.") for i in range(60, 65)]
+    found = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", spark.createDataFrame(items, "item_id long, item_text string"), "item_id", "item_text")
+    assert {(r["doc"], r["item"]) for r in found.collect()} == {(1, i) for i in range(60, 65)}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from("abcdefgh12"), min_size=23, max_size=40), st.lists(st.integers(0, 39), max_size=12))
+def test_shared_words_refuse_no_leak(item, changed):
+    known = leaks.Items([(1, " ".join(item))])
+    own = known.own[0]
+    doc = [("x" if i in changed else t) for i, t in enumerate(item)]
+    if leaks.leaked(item, own, doc)[0] >= leaks.LEAST_WORDS - leaks.EDGE:
+        assert leaks._may_leak(item, own, set(doc)) and leaks._own_met(known.own_words[0], known.need(0), set(doc))
+
+
 TRAIN = {
     "en": ["the owner of the parcel says that the barn was burned", "please find the survey plat of the land enclosed with this letter", "the exemption for the parcel lapsed because the form was not returned"],
     "es": ["el dueño de la parcela dice que el granero quedó destruido", "la oficina envió el aviso pero la familia ya no vive allí", "los herederos quieren dividir las tierras en partes iguales"],
