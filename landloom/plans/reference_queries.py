@@ -283,7 +283,8 @@ def _links(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return match.source_records(rows, ["county_id"], "row_no")[0], stored
 
 
-# The land id is the row's only parcel here, so that SQL need not parse list cells.
+# The land id is the row's only parcel here, so that SQL need not parse list cells;
+# match_list_candidates, match_list_best and match_list_ambiguous link by every listed parcel.
 _LAND = "case when regexp_full_match(trim({0}), '\\d+\\.0+') then regexp_replace(regexp_replace(trim({0}), '\\.0+$', ''), '^0+(\\d)', '\\1') else trim({0}) end"
 _SRC = f"""s as (select county_id, row_no, {_LAND.format('land_id')} land, try_cast(regexp_replace(trim(land_id), '\\.0+$', '') as bigint) num, full_name n, owned_lands lands from load_rows where regexp_full_match(trim(land_id), '-?\\d+(\\.0+)?')),
     b as (select unique_id, county_id, {_LAND.format('land_id')} land, full_name n, owned_lands lands, coalesce(list_distinct(id_list), []) ids, coalesce(len(id_list), 0) size from db_owner),
@@ -321,6 +322,31 @@ def match_ambiguous(spark: SparkSession, d: str) -> DataFrame:
     return best.groupBy("county_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("ambiguous").alias("n_ambiguous"))
 
 
+def _list_links(spark: SparkSession, d: str) -> DataFrame:
+    """Scored links by every id of the list cell, however the cell packs them."""
+    ids = F.regexp_extract_all("id_list", F.lit(r"[A-Za-z]*[0-9]+(?:\.0+)?"), F.lit(0))
+    rows = table(spark, d, "load_rows").select("county_id", "row_no", F.col("land_id").alias("id"), "full_name", F.col("owned_lands").alias("lands_count"), F.when(F.size(ids) > 0, F.to_json(ids)).otherwise(F.col("id_list")).alias("id_list"))
+    return match.candidates(match.source_records(rows, ["county_id"], "row_no")[0], table(spark, d, "db_owner"), ["county_id"])
+
+
+@query()
+def match_list_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """The scored links of all load rows by land id and every parcel of their id lists."""
+    return _list_links(spark, d).select("county_id", F.col("row").alias("row_no"), F.col("unique").alias("unique_id"), "score", "overlap")
+
+
+@query()
+def match_list_best(spark: SparkSession, d: str) -> DataFrame:
+    """The best link of each load row, by all its parcels."""
+    return match.best_matches(_list_links(spark, d), ["county_id"]).select("county_id", F.col("row").alias("row_no"), F.col("unique").alias("unique_id"), "score")
+
+
+@query()
+def match_list_ambiguous(spark: SparkSession, d: str) -> DataFrame:
+    """Per county the linked rows and those whose best link, by all parcels, ties with another."""
+    return match.best_matches(_list_links(spark, d), ["county_id"]).groupBy("county_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("ambiguous").alias("n_ambiguous"))
+
+
 def _updates(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     records, stored = _links(spark, d)
     best = match.best_matches(match.candidates(records, stored, ["county_id"]), ["county_id"])
