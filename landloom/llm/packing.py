@@ -43,8 +43,9 @@ def measure(documents: DataFrame, doc: str, text: str, *, path: str = os.path.jo
     """The pieces of each text: `doc`, `piece_no`, `start_token`, `n_tokens`, `n_loss`.
 
     A text is one piece unless it has more tokens than a container holds. Its
-    first sentence is the prompt and bears no loss. Texts are tokenized whole;
-    null and empty texts have no piece.
+    first sentence is the prompt and bears no loss; the prompt of a text that fits
+    a container but has more loss-bearing tokens than one may hold is longer by
+    those. Texts are tokenized whole; null and empty texts have no piece.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -54,10 +55,12 @@ def measure(documents: DataFrame, doc: str, text: str, *, path: str = os.path.jo
             for doc_id, body in zip(batch["doc"], batch["text"]):
                 n = len(encode(body))
                 prompt = min(n, len(encode(_LEAD.match(body)[0])))
+                if n <= capacity:
+                    prompt = max(prompt, n - loss)
                 at, k = 0, 0
                 while at < n:
                     free = max(0, prompt - at)
-                    size = n - at if n <= capacity and n - prompt <= loss else min(n - at, capacity, free + loss)
+                    size = n if n <= capacity else min(n - at, capacity, free + loss)
                     out.append((doc_id, k, at, size, size - min(free, size)))
                     at += size
                     k += 1

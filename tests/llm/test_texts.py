@@ -123,3 +123,13 @@ def test_measure_splits_only_long_texts(spark):
     total = len(packing.tokenizer("/opt/tokenizers/byte_bpe_50k.tiktoken").encode_ordinary("word " * 9000))
     assert sum(r["n_tokens"] for r in long) == total and all(r["n_tokens"] <= packing.TOKENS and r["n_loss"] <= packing.LOSS for r in long)
     assert leaks.LEAST_WORDS == 25
+
+
+def test_measure_keeps_a_text_of_one_container_whole(spark):
+    encode = packing.tokenizer("/opt/tokenizers/byte_bpe_50k.tiktoken").encode_ordinary
+    text = "Go." + " a" * 2036
+    n = len(encode(text))
+    assert packing.LOSS + 2 < n <= packing.TOKENS
+    pieces = packing.measure(spark.createDataFrame([(1, text)], "doc_id long, text string"), "doc_id", "text")
+    assert [tuple(r) for r in pieces.collect()] == [(1, 0, 0, n, packing.LOSS)]
+    assert packing.fill_containers(pieces).count() == 1
