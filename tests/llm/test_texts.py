@@ -64,6 +64,14 @@ def test_shared_words_refuse_no_leak(item, changed):
         assert leaks._may_leak(item, own, set(doc)) and leaks._own_met(known.own_words[0], known.need(0), set(doc))
 
 
+def test_a_passage_outlasts_stray_chains():
+    item = [f"p{i}" for i in range(40)] + [f"q{i}" for i in range(80)]
+    doc = []
+    for m in range(20):
+        doc += [f"p{2 * m}", f"p{2 * m + 1}"] + ([f"q{78 - 3 * m}", f"q{79 - 3 * m}"] if m < 19 else [])
+    assert leaks.leaked(item, np.array([i < 40 for i in range(120)]), doc)[0] == 40
+
+
 TRAIN = {
     "en": ["the owner of the parcel says that the barn was burned", "please find the survey plat of the land enclosed with this letter", "the exemption for the parcel lapsed because the form was not returned"],
     "es": ["el dueño de la parcela dice que el granero quedó destruido", "la oficina envió el aviso pero la familia ya no vive allí", "los herederos quieren dividir las tierras en partes iguales"],
