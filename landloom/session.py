@@ -42,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
         return given.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="landloom-")
         atexit.register(shutil.rmtree, named[len("file://"):], ignore_errors=True)
     spark.sparkContext.setCheckpointDir(named)
@@ -51,22 +53,33 @@ def shared_dir(spark: SparkSession) -> str:
 _written: list[tuple[SparkSession, str]] = []
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        if path.startswith("file:"):
+            shutil.rmtree(path.replace("file://", "").replace("file:", ""), ignore_errors=True)
+        else:
+            jvm = spark.sparkContext._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session may be gone; the folder belongs to the cluster then
+        pass
+
+
 def _remove_written() -> None:
     for spark, path in _written:
-        try:
-            if path.startswith("file:"):
-                shutil.rmtree(path.replace("file://", "").replace("file:", ""), ignore_errors=True)
-            else:
-                jvm = spark.sparkContext._jvm
-                target = jvm.org.apache.hadoop.fs.Path(path)
-                target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session may be gone; the folder belongs to the cluster then
-            pass
+        _remove(spark, path)
 
 
 atexit.register(_remove_written)
 
 
+def discard(spark: SparkSession, path: str, *, now: bool = False) -> None:
+    """Remove a table of the shared folder, at exit or at once."""
+    _written.append((spark, path))
+    if now:
+        _remove(*_written.pop())
+
+
 def cut(df: DataFrame, name: str = "step") -> DataFrame:
     """Write `df` as a table in the shared folder and read it again.
 
