@@ -1,20 +1,24 @@
-"""Duplicates of new batches against all accepted history, by small-world graph shards.
+"""Duplicates of new batches against all accepted history, by stored small-world graph shards.
 
 History is cut into segments: what was accepted before the first batch, and
-each batch. Shards are runs of segments of length one, two, four, ...: a new
-batch adds one shard, and two shards of equal length are compacted into one of
-twice the length. A batch is searched in the few shards that cover what came
-before it, so no batch reads all history again. Every shard holds two graphs
-per bucket: of parcel ids, and of records by place and acres.
+each batch. A `History` is a folder: per segment its rows, which are read only
+to name what was found, and shards of graphs over runs of one, two, four, ...
+segments. A new batch adds one shard; two shards of
+equal length are compacted into one of twice the length, so a batch is searched
+in about log2 of the number of segments shards, and no batch reads the rows of
+history again. Shards are bucketed tables: a search moves its queries only.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landloom.functions.text import parcel_key
@@ -23,18 +27,32 @@ from landloom.llm.addresses_link import MOST_COST, align
 from landloom.llm.classes import components
 from landloom.llm.names import parse as parse_name
 from landloom.llm.names_link import cost
-from landloom.llm.smallworld import Graph
-from landloom.llm.words import distance
+from landloom.llm.smallworld import Graph, build_links
 from landloom.missing import TABLE_TOKENS, is_missing
-from landloom.session import cut
-
-#: Nodes of one graph, about; the number of buckets follows from it.
-GRAPH_NODES = 150_000
-#: Acres are whole numbers of this part of an acre within the graph.
-ACRE_STEP = 10_000
-#: Edit distance of a mistyped id, names and addresses that still agree.
-ID_SLIPS = 1
+from landloom.session import cut, discard, shared_dir
+
+#: Nodes of one graph, about; the number of graphs follows from it, larger ones are dealt.
+GRAPH_NODES = 100_000
+#: Acres are whole numbers of this part of an acre within a graph, in so many low bits of a point.
+ACRE_STEP, ACRE_BITS = 10_000, 36
+#: Kinds of graphs: parcels by id; records of ids of up to 12 letters and digits; records of longer numbers.
+PARCELS, RECORDS, LONG_RECORDS = 0, 1, 2
 ID_TEXT = r"[A-Za-z]*[0-9]+(?:\.0+)?"
+#: What a graph keeps of each node beside its point, and what parts and ends the texts of nodes.
+_FIELDS = (("item", np.int64), ("id", np.int64), ("acres", np.float64), ("decimals", np.int8))
+_PART, _END = "\x1f", "\x1e"
+_GRAPH = "graph int, sub int, kind int, points binary, links binary, " + ", ".join(f"{f} binary" for f, _ in _FIELDS) + ", texts binary"
+_FOUND = "kind int, q long, n long"
+
+
+class Shard(NamedTuple):
+    """A stored run of segments: the first one, how many, graphs of each kind, whether large ones are dealt."""
+
+    first: int
+    length: int
+    graphs: int
+    nodes: int
+    dealt: bool
 
 
 def covering(upto: int) -> list[tuple[int, int]]:
@@ -47,97 +65,33 @@ def covering(upto: int) -> list[tuple[int, int]]:
     return out
 
 
-def schedule(segments: int, *, own: bool) -> tuple[dict[int, list[tuple[int, int]]], dict[int, list[tuple[int, int]]]]:
-    """For each segment the shards it is a part of, and for each batch the shards it is searched in."""
-    search = {b: covering(b + own) for b in range(1, segments)}
-    used = sorted({s for shards in search.values() for s in shards})
-    part = {s: [x for x in used if x[0] <= s < x[0] + x[1]] for s in range(segments)}
-    return part, search
-
-
-def _shards(segment: Column, table: dict[int, list[tuple[int, int]]]) -> Column:
-    """Numbers of the shards of a segment; a shard number is first * 4096 + length."""
-    out = F.array().cast("array<int>")
-    for s, shards in sorted(table.items()):
-        if shards:
-            out = F.when(segment == s, F.array(*[F.lit(a * 4096 + n) for a, n in shards]).cast("array<int>")).otherwise(out)
-    return out
-
-
-def _search(nodes: DataFrame, queries: DataFrame, buckets: int, node_columns: list[str], query_columns: list[str], check) -> DataFrame:
-    """Pairs of queries and nodes of one shard and bucket within the query's radius, then `check`.
-
-    `nodes` have `shard`, `point`; `queries` also `radius`; the bucket is the
-    high half of the point, so near points share it.
-    """
-    def dealt(df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.pmod(F.xxhash64(F.shiftrightunsigned("point", 32)), F.lit(buckets)))
-
-    fields = {c: t for df, names in ((nodes, node_columns), (queries, query_columns)) for c, t in df.dtypes if c in names}
-    schema = ", ".join(f"`{c}` {t}" for c, t in fields.items())
-
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame(columns=list(fields))
-        graph = Graph(left["point"].to_numpy(np.int64).view(np.uint64))
-        right.columns = [c.removeprefix("right__") for c in right.columns]
-        points, radius = right["point"].to_numpy(np.int64).view(np.uint64), right["radius"].to_numpy(np.int64).astype(np.uint64)
-        out = []
-        for at in range(0, len(points), 50_000):
-            q, n = graph.within(points[at:at + 50_000], radius[at:at + 50_000])
-            pairs = pd.concat([left[node_columns].iloc[n].reset_index(drop=True), right[query_columns].iloc[q + at].reset_index(drop=True)], axis=1)
-            out.append(check(pairs) if check else pairs)
-        return pd.concat(out)[list(fields)]
-
-    # Both sides may come from one table; columns of the same identity would be lost.
-    named = dealt(queries)
-    named = named.select(*[F.col(c).alias(f"right__{c}") for c in named.columns])
-    return dealt(nodes).groupBy("shard", "bucket").cogroup(named.groupBy("right__shard", "right__bucket")).applyInPandas(run, schema)
-
-
-def one_slip(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def one_slip(a: np.ndarray, b: np.ndarray, base: int = 10) -> np.ndarray:
     """Whether two whole numbers differ by one digit put in, left out, changed, or two neighbours swapped."""
     out = np.zeros(len(a), bool)
     swap = a > b
     a, b = np.where(swap, b, a), np.where(swap, a, b)
-    la, lb = _digits(a), _digits(b)
-    top = int(lb.max()) if len(lb) else 0
-    for i in range(top):
-        unit = 10**i
+    la, lb = _digits(a, base), _digits(b, base)
+    for i in range(int(lb.max()) if len(lb) else 0):
+        unit = base**i
         # One changed digit or a swap of neighbours: equal above and below.
         same = (la == lb) & (a % unit == b % unit)
-        out |= same & (a // (unit * 10) == b // (unit * 10)) & (a != b)
-        a2, b2 = a // unit % 100, b // unit % 100
-        out |= same & (a // (unit * 100) == b // (unit * 100)) & (a2 // 10 == b2 % 10) & (a2 % 10 == b2 // 10) & (a != b)
+        x, y = a // unit, b // unit
+        out |= same & (x // base == y // base) & (a != b)
+        out |= same & (x // base // base == y // base // base) & (x // base % base == y % base) & (x % base == y // base % base) & (a != b)
         # One digit more in b at this place.
-        out |= (lb == la + 1) & (b // (unit * 10) * unit + b % unit == a)
+        out |= (lb == la + 1) & (y // base * unit + b % unit == a)
     return out
 
 
-def _digits(x: np.ndarray) -> np.ndarray:
+def _digits(x: np.ndarray, base: int) -> np.ndarray:
     out = np.ones(len(x), np.int64)
-    for k in range(1, 18):
-        out += x >= 10**k
+    unit = base
+    while len(x) and unit <= int(x.max()):
+        out += x >= unit
+        unit *= base
     return out
 
 
-def _check_slips(pairs: pd.DataFrame) -> pd.DataFrame:
-    x, y = pairs["id_n"].to_numpy(np.int64), pairs["id_q"].to_numpy(np.int64)
-    keep = one_slip(x, y)
-    # Acres agree up to rounding: to the fewer decimals of the two.
-    tolerance = 0.55 * 10.0 ** -np.minimum(pairs["decimals_n"], pairs["decimals_q"]).to_numpy(float)
-    keep &= np.abs(pairs["acres_n"].to_numpy() - pairs["acres_q"].to_numpy()) <= tolerance
-    return pairs[keep]
-
-
-def _same_record(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        keep = []
-        for n1, a1, n2, a2 in zip(batch["name_n"], batch["address_n"], batch["name_q"], batch["address_q"]):
-            keep.append(cost(parse_name(n1), parse_name(n2)) < 99 and align(parse_address(a1), parse_address(a2)) <= MOST_COST)
-        yield batch.loc[np.array(keep, bool), ["area", "id_n", "id_q"]]
-
-
 def house_number(address: Column) -> Column:
     """The house or box number of an address, found without its codes, units and road numbers; null if there is none."""
     t = F.upper(address)
@@ -159,75 +113,245 @@ def parcel_items(rows: DataFrame, area: str, land: str, ids: str) -> DataFrame:
 
 
 def history_rows(rows: DataFrame, *, area: str, segment: Column, source: str, key: str, land: str, ids: str, name: str, address: str, acres: str) -> DataFrame:
-    """Rows of either table in the common form that `duplicates` takes."""
+    """Rows of either table in the common form that a `History` takes."""
     miss = lambda c: is_missing(F.col(c), TABLE_TOKENS)
     plain = F.regexp_replace(F.col(acres).cast("string"), "[,$ ]", "")
-    flat = parcel_items(rows, area, land, ids).select(
+    return parcel_items(rows, area, land, ids).select(
         F.col(area).alias("area"), segment.cast("int").alias("segment"), F.lit(source).alias("source"), F.col(key).cast("string").alias("key"), "parcels",
         F.when(~miss(name), F.col(name)).alias("name"), F.when(~miss(address), F.col(address)).alias("address"),
         plain.try_cast("double").alias("acres"), F.length(F.regexp_extract(plain, r"\.(\d+)", 1)).alias("decimals"))
-    return flat.withColumn("house", F.when(F.col("name").isNotNull(), house_number(F.col("address")))).withColumn("row_id", F.xxhash64("source", "key"))
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    """The distinct nodes of rows: `kind`, `point`, the fields, and `text`.
+
+    The point of a parcel is a hash of its area and id. The point of a record
+    has a hash of its area and house number above, then how far its acres are
+    rounded, then the acres. Its text is what is compared exactly: area, name,
+    address, and the parcels that its row holds.
+    """
+    each = rows.select("area", "name", "address", "acres", F.least("decimals", F.lit(9)).alias("decimals"), "house", "parcels", F.explode("parcels").alias("id"))
+    item = F.xxhash64("area", "id")
+    parcels = each.select(F.lit(PARCELS).alias("kind"), item.alias("point")).select("kind", "point", F.col("point").alias("item"), F.lit(0).cast("long").alias("id"), F.lit(0.0).alias("acres"), F.lit(0).alias("decimals"), F.lit("").alias("text"))
+    code = F.when(F.length("id") <= 12, F.conv("id", 36, 10).try_cast("long")).when(F.col("id").rlike("^[0-9]{13,17}$"), F.col("id").try_cast("long"))
+    low = F.least(F.round(F.col("acres") * ACRE_STEP), F.lit(float(2**ACRE_BITS - 1))).cast("long")
+    place = F.xxhash64("area", F.coalesce("house", F.lit("")))
+    point = F.shiftleft(place, ACRE_BITS + 2).bitwiseOR(F.shiftleft(F.least("decimals", F.lit(2)).cast("long"), ACRE_BITS)).bitwiseOR(low)
+    clean = lambda c: F.translate(c, _PART + _END, "  ")
+    text = F.concat_ws(_PART, F.col("area").cast("string"), clean(F.col("name")), clean(F.col("address")), F.array_join("parcels", ","))
+    usable = each.filter("name is not null and address is not null and acres > 0").withColumn("code", code).filter("code is not null")
+    records = usable.select(F.when(F.length("id") <= 12, RECORDS).otherwise(LONG_RECORDS).alias("kind"), point.alias("point"), item.alias("item"), F.col("code").alias("id"), "acres", "decimals", text.alias("text"))
+    return parcels.unionByName(records).distinct()
+
+
+def _build(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
+    """One graph as a row of arrays, its nodes in order."""
+    points = nodes["point"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(points, kind="stable")
+    out = {"graph": key[0], "sub": key[1], "kind": int(nodes["kind"].iloc[0]), "points": points[order].tobytes(), "links": build_links(len(points)).tobytes()}
+    bare = out["kind"] == PARCELS  # the point of a parcel says all
+    for f, t in _FIELDS:
+        out[f] = b"" if bare else nodes[f].to_numpy(t)[order].tobytes()
+    out["texts"] = b"" if bare else _END.join(nodes["text"].to_numpy()[order]).encode()
+    return pd.DataFrame([out])
+
+
+def _opened(row: pd.Series) -> tuple[int, Graph, dict[str, np.ndarray]]:
+    return int(row["kind"]), Graph.stored(row["points"], row["links"]), {f: np.frombuffer(row[f], t) for f, t in _FIELDS}
+
+
+def _unfolded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The nodes of stored graphs, one row each."""
+    for batch in batches:
+        for _, row in batch.iterrows():
+            kind, graph, field = _opened(row)
+            points = graph.points.view(np.int64)
+            if kind == PARCELS:
+                field = {f: points if f == "item" else np.zeros(len(points), t) for f, t in _FIELDS}
+            yield pd.DataFrame({"kind": np.int32(kind), "point": points, **field, "text": row["texts"].decode().split(_END) if kind != PARCELS else ""})
+
+
+def _same_record(a: str, b: str, x: str, y: str) -> bool:
+    """Whether two records of the ids x and y agree; ids that one row holds side by side are two parcels, however alike."""
+    area1, name1, address1, held1 = a.split(_PART)
+    area2, name2, address2, held2 = b.split(_PART)
+    if area1 != area2 or y in held1.split(",") or x in held2.split(","):
+        return False
+    return cost(parse_name(name1), parse_name(name2)) < 99 and align(parse_address(address1), parse_address(address2)) <= MOST_COST
+
+
+def _spelled(number: int, base: int) -> str:
+    return np.base_repr(number, base)
+
+
+def _find(graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of asked and stored parcels: equal ones, and those of agreeing records whose ids are one slip apart."""
+    nothing = np.empty(0, np.int64)
+    if not len(graphs) or not len(queries):
+        return pd.DataFrame({"kind": nothing.astype(np.int32), "q": nothing, "n": nothing})
+    row = graphs.iloc[0]
+    kind, graph, field = _opened(row)
+    points = queries["point"].to_numpy(np.int64).view(np.uint64)
+    if kind == PARCELS:
+        q, n = graph.within(points, np.zeros(len(points), np.uint64))
+        return pd.DataFrame({"kind": np.int32(kind), "q": points[q].view(np.int64), "n": graph.points[n].view(np.int64)})
+    item, number, acres, decimals = (queries[f].to_numpy(t) for f, t in _FIELDS)
+    texts, stored, base = queries["text"].to_numpy(), None, 36 if kind == RECORDS else 10
+    low, shift = np.uint64(2**ACRE_BITS - 1), np.uint64(ACRE_BITS + 2)
+    out: set[tuple[int, int]] = set()
+    for rounding in range(3):  # stored acres of no, one, more decimals: the coarser rounding of the two tells the radius
+        aim = (points >> shift << shift) | np.uint64(rounding << ACRE_BITS) | (points & low)
+        reach = np.ceil(0.56 * ACRE_STEP * 10.0 ** -np.minimum(decimals, rounding).astype(float)).astype(np.uint64)
+        for at in range(0, len(aim), 50_000):
+            q, n = graph.within(aim[at:at + 50_000], reach[at:at + 50_000])
+            q = q + at
+            tolerance = 0.55 * 10.0 ** -np.minimum(decimals[q], field["decimals"][n]).astype(float)
+            near = (points[q] >> shift == graph.points[n] >> shift) & (np.abs(acres[q] - field["acres"][n]) <= tolerance)
+            q, n = q[near], n[near]
+            slip = one_slip(number[q], field["id"][n], base)
+            for i, j in zip(q[slip], n[slip]):
+                stored = stored or row["texts"].decode().split(_END)
+                if (item[i], field["item"][j]) not in out and _same_record(texts[i], stored[j], _spelled(number[i], base), _spelled(field["id"][j], base)):
+                    out.add((item[i], field["item"][j]))
+    return pd.DataFrame({"kind": np.int32(kind), "q": np.array([a for a, _ in out], np.int64), "n": np.array([b for _, b in out], np.int64)})
+
+
+class History:
+    """An index of accepted rows in a folder of the shared file system.
+
+    `add` takes the rows of one batch, in the form of `history_rows`: it writes
+    the batch's postings, records and shard, searches the shards for its parcels
+    and, for mistyped ids, its records, and compacts. `repeats` gives the rows
+    found. Opening a folder that holds an index goes on with it.
+
+    An id is a mistyped one of a stored parcel if it is one slip away and name,
+    address and acres agree up to spelling and rounding, so a row without one
+    of these three is compared by id only, as are ids of more than 12 letters
+    and digits that are no numbers of up to 17 digits. Ids that one row holds
+    side by side are never one parcel. Rows without parcels repeat nothing; a
+    repeated row repeats each copy. Beams are widened to the full radius, so
+    the recall is that of the exhaustive search.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
+        self.spark, self.folder = spark, folder or os.path.join(shared_dir(spark), f"history-{uuid.uuid4().hex}")
+        self.shards: list[Shard] = []
+        self.segments = 0
+        self.parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._names: dict[Shard, str] = {}
+        if folder is None:
+            discard(spark, self.folder)
+        elif self._there("state"):
+            state = spark.read.parquet(self._at("state")).orderBy(F.desc("segments")).first()
+            self.segments, self.parts = state["segments"], state["parts"]
+            self.shards = [Shard(*s) for s in state["shards"]]
+
+    def _at(self, *names: str) -> str:
+        return os.path.join(self.folder, *names)
+
+    def _there(self, name: str) -> bool:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._at(name))
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    def _table(self, shard: Shard) -> DataFrame:
+        """The bucketed table of a shard."""
+        if shard not in self._names:
+            name = f"shard_{uuid.uuid4().hex}"
+            self.spark.sql(f"create table {name} ({_GRAPH}) using parquet clustered by (graph, sub) into {self.parts} buckets location '{self._at('shards', f'{shard.first}-{shard.length}')}'")
+            self._names[shard] = name
+        return self.spark.table(self._names[shard])
+
+    def _graph(self, nodes: DataFrame, shard: Shard) -> DataFrame:
+        place = F.when(F.col("kind") == PARCELS, F.col("point")).otherwise(F.shiftrightunsigned("point", ACRE_BITS + 2))
+        return nodes.withColumn("graph", F.col("kind") * shard.graphs + F.pmod(F.xxhash64(place), F.lit(shard.graphs)).cast("int"))
+
+    def _write(self, nodes: DataFrame, first: int, length: int, size: int) -> None:
+        """Write a shard of distinct nodes; a graph of too many nodes is dealt to several by their numbers."""
+        shard = Shard(first, length, max(1, round(size / GRAPH_NODES)), size, False)
+        known = self._graph(nodes, shard)
+        large = known.groupBy("graph").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 3 * GRAPH_NODES).select("graph", F.ceil(F.col("n") / GRAPH_NODES).cast("int").alias("subs"))
+        if not large.isEmpty():
+            shard = shard._replace(dealt=True)
+            large.coalesce(1).write.parquet(self._at("shards", f"{first}-{length}-dealt"))
+        known = self._dealt(known, shard).withColumn("sub", F.pmod("item", F.col("subs")).cast("int"))
+        name = f"shard_{uuid.uuid4().hex}"
+        built = known.repartition(self.parts, "graph", "sub").groupBy("graph", "sub").applyInPandas(_build, _GRAPH)
+        built.write.format("parquet").bucketBy(self.parts, "graph", "sub").option("path", self._at("shards", f"{first}-{length}")).saveAsTable(name)
+        self._names[shard] = name
+        self.shards.append(shard)
+
+    def _dealt(self, nodes: DataFrame, shard: Shard) -> DataFrame:
+        if not shard.dealt:
+            return nodes.withColumn("subs", F.lit(1))
+        large = self.spark.read.parquet(self._at("shards", f"{shard.first}-{shard.length}-dealt"))
+        return nodes.join(large, "graph", "left").withColumn("subs", F.coalesce("subs", F.lit(1)))
+
+    def _compact(self) -> None:
+        """Merge the last two shards as long as they are of equal length."""
+        while len(self.shards) > 1 and self.shards[-1].length == self.shards[-2].length:
+            b, a = self.shards.pop(), self.shards.pop()
+            schema = "kind int, point long, item long, id long, acres double, decimals int, text string"
+            nodes = self._table(a).unionAll(self._table(b)).mapInPandas(_unfolded, schema).distinct()
+            self._write(cut(nodes, "merged"), a.first, a.length + b.length, a.nodes + b.nodes)
+            for old in (a, b):
+                self.spark.sql(f"drop table {self._names.pop(old)}")
+                discard(self.spark, self._at("shards", f"{old.first}-{old.length}"), now=True)
+
+    def add(self, rows: DataFrame) -> None:
+        """Accept the rows of the next segment; their own `segment` is not read."""
+        segment, self.segments = self.segments, self.segments + 1
+        house = F.when(F.col("name").isNotNull(), house_number(F.col("address")))
+        rows = rows.filter(F.size("parcels") > 0).withColumn("house", house)
+        rows.write.parquet(self._at("rows", f"segment={segment}"))
+        rows = self.spark.read.parquet(self._at("rows", f"segment={segment}"))
+        nodes = cut(_nodes(rows), "nodes")
+        self._write(nodes, segment, 1, nodes.count())
+        if segment:
+            self._search(nodes, segment)
+        self._compact()
+        shards = F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in shard._asdict().items()]) for shard in self.shards])
+        state = self.spark.range(1, numPartitions=1).select(F.lit(self.segments).alias("segments"), F.lit(self.parts).alias("parts"), shards.alias("shards"))
+        state.write.mode("append").parquet(self._at("state"))
+
+    def _search(self, nodes: DataFrame, segment: int) -> None:
+        """Write what the shards hold of a batch's parcels, and of its records under ids one slip away."""
+        found = None
+        for shard in self.shards:
+            # Within the batch itself only mistyped ids are looked for.
+            asked = nodes.filter(F.col("kind") != PARCELS) if shard.first == segment else nodes
+            asked = self._dealt(self._graph(asked, shard), shard).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).select("graph", "sub", "point", *[f for f, _ in _FIELDS], "text")
+            one = self._table(shard).groupBy("graph", "sub").cogroup(asked.groupBy("graph", "sub")).applyInPandas(_find, _FOUND)
+            found = one if found is None else found.unionAll(one)
+        found.write.parquet(self._at("found", f"segment={segment}"))
+
+    def repeats(self, segment: int | None = None) -> DataFrame:
+        """Each row of the segment (of all of them) with each row of an earlier one that holds one of its parcels.
+
+        Columns `key` of the later row, `hist_source`, `hist_key`.
+        """
+        empty = "source string, key string, hist_source string, hist_key string"
+        if self.segments < 2:
+            return self.spark.createDataFrame([], empty).select("key", "hist_source", "hist_key")
+        held = self.spark.read.parquet(self._at("rows")).select("segment", "source", "key", F.explode("parcels").alias("id"), "area").select("segment", "source", "key", F.xxhash64("area", "id").alias("item"))
+        late = held.filter(F.col("segment") > 0 if segment is None else F.col("segment") == segment).select(F.col("segment").alias("late"), F.col("key").alias("row_key"), "item")
+        found = self.spark.read.parquet(self._at("found"))
+        hits = found.filter(F.col("kind") == PARCELS).select(F.col("segment").alias("late"), F.col("q").alias("item"), F.col("n").alias("node")).distinct()
+        labels = cut(components(found.filter(F.col("kind") != PARCELS), "n", "q"), "labels")
+        same = labels.select(F.col("node").alias("item"), "label").join(labels, "label").filter("item <> node").select("item", "node")
+        met = late.join(hits, ["late", "item"]).select("late", "row_key", "node").unionByName(late.join(same, "item").select("late", "row_key", "node"))
+        early = held.select(F.col("segment").alias("early"), F.col("source").alias("hist_source"), F.col("key").alias("hist_key"), F.col("item").alias("node"))
+        return met.join(early, "node").filter("early < late").select(F.col("row_key").alias("key"), "hist_source", "hist_key").distinct()
 
 
 def duplicates(rows: DataFrame, batches: int) -> DataFrame:
-    """Each row of a batch with each earlier row of its area that holds one of its parcels.
+    """Each row of a batch with each earlier row of its area that holds one of its parcels: `key`, `hist_source`, `hist_key`.
 
     `rows` come from `history_rows`; segment 0 was accepted before the first
-    batch. A mistyped id is the same parcel where name, address and acres agree
-    up to spelling and rounding. Result: `key` of the later row, `hist_source`,
-    `hist_key`. Equal ids are found by the graphs of ids, mistyped ones by the
-    graphs of records; beams are widened to the full radius, so the recall is
-    that of the exhaustive search. Rows without parcels repeat nothing, a
-    repeated row repeats each copy. `batches` is the number of the last batch.
-    """
-    short = cut(rows.drop("name", "address"), "rows")
-    alias = aliases(rows, short, batches)
-    items = short.select("area", "segment", "source", "key", F.explode("parcels").alias("id"))
-    named = items.join(alias, ["area", "id"], "left").select("area", "segment", "source", "key", F.coalesce("parcel", "id").alias("id"))
-    named = cut(named.select("segment", "source", "key", F.xxhash64("area", "id").alias("point")).distinct(), "items")
-    part, search = schedule(batches + 1, own=False)
-    points = named.select("segment", "point").distinct()
-    nodes = points.withColumn("shard", F.explode(_shards(F.col("segment"), part))).select("shard", "point").distinct().withColumn("node", F.col("point"))
-    queries = points.filter("segment > 0").withColumn("shard", F.explode(_shards(F.col("segment"), search))).select("shard", "point", "segment", F.lit(0).cast("long").alias("radius"))
-    buckets = max(1, round(named.count() / GRAPH_NODES))
-    hits = _search(nodes, queries, buckets, ["node"], ["segment"], None).select(F.col("segment").alias("batch"), "node").distinct()
-    late = named.filter("segment > 0").join(hits, (named["segment"] == hits["batch"]) & (named["point"] == hits["node"]), "left_semi").select("point", "segment", F.col("key").alias("row_key"))
-    early = named.select("point", F.col("segment").alias("hist_segment"), F.col("source").alias("hist_source"), F.col("key").alias("hist_key"))
-    return late.join(early, "point").filter("hist_segment < segment").select(F.col("row_key").alias("key"), "hist_source", "hist_key").distinct()
-
-
-def aliases(rows: DataFrame, short: DataFrame, batches: int) -> DataFrame:
-    """Ids that name one parcel though they differ: `area`, `id`, `parcel` (one name for all of them).
-
-    Records are points by area, house number and acres; a query's radius is the
-    rounding of its acres, two decimals at most. Of the pairs found those whose
-    ids are one slip apart are compared by name and address.
+    batch, `batches` is the number of the last one. Each segment is added to a
+    new `History` in turn.
     """
-    usable = short.filter("house is not null and acres > 0").select("area", "segment", "row_id", "house", "acres", "decimals", F.explode("parcels").alias("text"))
-    usable = usable.withColumn("id", F.when(F.col("text").rlike("^[0-9]{3,17}$"), F.col("text").try_cast("long"))).filter("id is not null")
-    low = F.least(F.round(F.col("acres") * ACRE_STEP), F.lit(4.2e9)).cast("long")
-    point = F.shiftleft(F.shiftrightunsigned(F.xxhash64("area", "house"), 32), 32).bitwiseOR(low)
-    usable = usable.withColumn("point", point)
-    part, search = schedule(batches + 1, own=True)
-    columns = ("row_id", "id", "acres", "decimals")
-    nodes = usable.withColumn("shard", F.explode(_shards(F.col("segment"), part))).select("shard", "point", *[F.col(c).alias(f"{c}_n") for c in columns])
-    radius = F.ceil(0.56 * ACRE_STEP * F.pow(F.lit(10.0), -F.least("decimals", F.lit(2)))).cast("long")
-    queries = usable.filter("segment > 0").withColumn("shard", F.explode(_shards(F.col("segment"), search))).select("shard", "point", radius.alias("radius"), *[F.col(c).alias(f"{c}_q") for c in columns])
-    buckets = max(1, round(usable.count() / GRAPH_NODES))
-    near = _search(nodes, queries, buckets, [f"{c}_n" for c in columns], [f"{c}_q" for c in columns], _check_slips)
-    near = cut(near.select("row_id_n", "id_n", "row_id_q", "id_q").distinct(), "near")
-    wanted = near.select(F.col("row_id_n").alias("row_id")).union(near.select("row_id_q")).distinct()
-    # Parcels come from the table that holds them already; they are not parsed again.
-    held = short.select("row_id", "parcels").join(wanted, "row_id", "left_semi").dropDuplicates(["row_id"])
-    texts = cut(rows.select("row_id", "area", "name", "address").join(held, "row_id"), "texts")
-    left = texts.select(F.col("row_id").alias("row_id_n"), "area", F.col("name").alias("name_n"), F.col("address").alias("address_n"), F.col("parcels").alias("parcels_n"))
-    right = texts.select(F.col("row_id").alias("row_id_q"), F.col("area").alias("area_q"), F.col("name").alias("name_q"), F.col("address").alias("address_q"), F.col("parcels").alias("parcels_q"))
-    # Ids that one row holds side by side are two parcels, however alike.
-    beside = F.array_contains("parcels_n", F.col("id_q").cast("string")) | F.array_contains("parcels_q", F.col("id_n").cast("string"))
-    pairs = near.join(left, "row_id_n").join(right, "row_id_q").filter("area = area_q").filter(~beside)
-    area_type = rows.schema["area"].dataType.simpleString()
-    same = pairs.select("area", "id_n", "id_q", "name_n", "address_n", "name_q", "address_q").mapInPandas(_same_record, f"area {area_type}, id_n long, id_q long").distinct()
-    same = cut(same.withColumn("a", F.xxhash64("area", "id_n")).withColumn("b", F.xxhash64("area", "id_q")), "same")
-    ids = same.select("area", F.col("id_n").alias("id"), F.col("a").alias("node")).union(same.select("area", "id_q", "b")).distinct()
-    named = ids.join(components(same), "node")
-    return named.select("area", F.col("id").cast("string").alias("id"), F.concat(F.lit("="), F.col("label").cast("string")).alias("parcel"))
+    history = History(rows.sparkSession)
+    known = cut(rows, "rows")
+    for segment in range(batches + 1):
+        history.add(known.filter(F.col("segment") == segment).drop("segment"))
+    return history.repeats()

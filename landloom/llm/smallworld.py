@@ -1,8 +1,8 @@
 """Navigable small-world graphs over points of a line, searched by greedy routing and widened beams.
 
 A point's links are its two neighbours in order and long links whose lengths
-fall off harmonically, so that greedy routing needs about log^2 n / links
-steps. Searching many queries at once keeps every step in numpy.
+fall off harmonically, so that greedy routing needs about log^2 n steps.
+Searching many queries at once keeps every step in numpy.
 """
 
 from __future__ import annotations
@@ -10,22 +10,38 @@ from __future__ import annotations
 import numpy as np
 
 #: Long links of a node.
-LINKS = 10
+LINKS = 2
+#: Nodes of a beam at first; it is doubled as long as all of them lie within the radius.
+BEAM = 4
+
+
+def build_links(n: int, links: int = LINKS, seed: int = 11) -> np.ndarray:
+    """Long links of n nodes in order: ranks, one row per node, as many before it as after it."""
+    rng = np.random.default_rng(seed)
+    jump = np.exp(rng.random((n, links)) * np.log(max(n, 2))).astype(np.int64)
+    jump[:, ::2] *= -1
+    return np.clip(np.arange(n)[:, None] + jump, 0, max(n - 1, 0)).astype(np.int32)
 
 
 class Graph:
-    """A graph over unsigned 64-bit points; equal points may be repeated."""
+    """A graph over unsigned 64-bit points; equal points may be repeated.
 
-    def __init__(self, points: np.ndarray, links: int = LINKS, seed: int = 11) -> None:
+    `order` gives for each rank the place of its point in what was given.
+    """
+
+    def __init__(self, points: np.ndarray) -> None:
         self.order = np.argsort(points, kind="stable")
         self.points = points[self.order].astype(np.uint64)
-        n = len(points)
-        if n:
-            rng = np.random.default_rng(seed)
-            jump = np.exp(rng.random((n, links)) * np.log(max(n, 2))).astype(np.int64)
-            jump[:, ::2] *= -1
-            near = np.repeat([[-1, 1]], n, 0)
-            self.links = np.clip(np.arange(n)[:, None] + np.concatenate([near, jump], 1), 0, n - 1).astype(np.int32)
+        self.links = build_links(len(points))
+
+    @classmethod
+    def stored(cls, points: bytes, links: bytes) -> Graph:
+        """A graph as `points.tobytes()` and `links.tobytes()` hold it; its nodes are in order."""
+        graph = cls.__new__(cls)
+        graph.points = np.frombuffer(points, np.uint64)
+        graph.links = np.frombuffer(links, np.int32).reshape(len(graph.points), -1)
+        graph.order = np.arange(len(graph.points))
+        return graph
 
     def _far(self, at: np.ndarray, query: np.ndarray) -> np.ndarray:
         p = self.points[at]
@@ -35,81 +51,57 @@ class Graph:
         """Greedy routing from the middle of the graph: the rank of a nearest node of each query.
 
         In one dimension the links to the neighbours leave no local minimum
-        except among equal points, so the nearest node is always reached.
+        except among equal points; a run of those is passed towards the query.
         """
-        at = np.full(len(queries), len(self.points) // 2, np.int64)
+        n = len(self.points)
+        at = np.full(len(queries), n // 2, np.int64)
         far = self._far(at, queries)
-        active = np.arange(len(queries))
+        active = np.flatnonzero(far > 0)
         while len(active):
-            links = self.links[at[active]]
+            here = at[active]
+            side = np.where(self.points[here] < queries[active], 1, -1)
+            links = np.concatenate([np.clip(here + side, 0, n - 1)[:, None], self.links[here]], 1)
             d = self._far(links, queries[active, None])
             best = d.argmin(1)
             row = np.arange(len(active))
-            better = d[row, best] < far[active]
-            # Among equal points the next different one may lie beyond a plateau: pass it towards the query.
-            flat = ~better & (far[active] > 0)
-            step = np.where(self.points[at[active]] < queries[active], 1, -1)
-            goal = self._edge(at[active], step, flat)
-            moved = flat & (goal >= 0)
-            if moved.any():
-                g = np.where(moved, goal, at[active])
-                dg = self._far(g, queries[active])
-                moved &= dg < far[active]
-            new = np.where(better, links[row, best], np.where(moved, goal, at[active]))
-            go = better | moved
-            at[active] = new
-            far[active] = self._far(new, queries[active])
+            new, near = links[row, best], d[row, best]
+            # Among equal points, on by the longest link on the query's side that stays among them.
+            equal = self.points[links] == self.points[here][:, None]
+            flat = (near >= far[active]) & (links[:, 0] != here) & equal[:, 0]
+            ahead = np.where(equal, (links - here[:, None]) * side[:, None], 0)
+            new = np.where(flat, links[row, ahead.argmax(1)], new)
+            go = (near < far[active]) | flat
+            at[active[go]] = new[go]
+            far[active[go]] = np.minimum(near, far[active])[go]
             active = active[go]
+            active = active[far[active] > 0]
         return at
 
-    def _edge(self, at: np.ndarray, step: np.ndarray, which: np.ndarray) -> np.ndarray:
-        """The first rank with another point in the direction of `step`; -1 at the end or where not asked."""
-        out = np.full(len(at), -1, np.int64)
-        if which.any():
-            p = self.points[at[which]]
-            up = step[which] > 0
-            out[which] = np.where(up, np.searchsorted(self.points, p, "right"), np.searchsorted(self.points, p, "left") - 1)
-            out[out >= len(self.points)] = -1
-        return out
-
-    def within(self, queries: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def within(self, queries: np.ndarray, radius: np.ndarray, beam: int = BEAM, rounds: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All pairs (query number, node number) no farther apart than the query's radius.
 
-        From the routed node the beam is doubled on both sides until its ends lie beyond the radius, so
-        no node is missed whatever the number in reach.
+        From the routed node a beam goes along the neighbours on either side and
+        is doubled as long as all its nodes lie within the radius, so no node is
+        missed whatever the number in reach. `rounds` ends it after so many
+        beams: for measuring what a beam of fixed width would miss.
         """
-        if not len(queries) or not len(self.points):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
         n = len(self.points)
-        at = self.route(queries)
-        low = np.where(queries > radius, queries - radius, 0).astype(np.uint64)
-        high = np.where(queries > np.uint64(2**64 - 1) - radius, np.uint64(2**64 - 1), queries + radius)
-        left, right = at.copy(), at.copy()
-        for end, sign, bound in ((left, -1, low), (right, 1, high)):
-            width = 1
-            open_ = np.arange(len(queries))
-            while len(open_):
-                to = np.clip(end[open_] + sign * width, 0, n - 1)
-                p = self.points[to]
-                more = (p >= bound[open_]) if sign < 0 else (p <= bound[open_])
-                more &= to != end[open_]
-                end[open_[more]] = to[more]
-                open_ = open_[more] if width == 1 or more.any() else open_[:0]
-                width *= 2
-            # Halve back over what the last doubling overshot.
-            while width:
-                to = np.clip(end + sign * width, 0, n - 1)
-                p = self.points[to]
-                more = (p >= bound) if sign < 0 else (p <= bound)
-                end[more] = to[more]
-                width //= 2
-        first = self.points[left]
-        left = np.where((first < low) | (first > high), left + 1, left)
-        size = np.maximum(0, right - left + 1)
-        inside = (self.points[np.minimum(left, n - 1)] >= low) & (self.points[np.minimum(left, n - 1)] <= high)
-        size = np.where(inside & (left < n), size, 0)
-        query = np.repeat(np.arange(len(queries)), size)
-        total = int(size.sum())
-        rank = np.arange(total) - np.repeat(np.cumsum(size) - size, size) + np.repeat(left, size)
-        keep = (self.points[np.minimum(rank, n - 1)] >= low[query]) & (self.points[np.minimum(rank, n - 1)] <= high[query])
-        return query[keep], self.order[rank[keep]]
+        if not len(queries) or not n:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        start = self.route(queries)
+        out_q, out_n = [], []
+        for side in (-1, 1):
+            cursor = start + (side > 0)
+            active, width, turn = np.arange(len(queries)), beam, 0
+            while len(active) and (rounds is None or turn < rounds):
+                spots = cursor[active, None] + side * np.arange(width)
+                there = (spots >= 0) & (spots < n)
+                inside = there & (self._far(np.clip(spots, 0, n - 1), queries[active, None]) <= radius[active, None])
+                row, col = np.nonzero(inside)
+                out_q.append(active[row])
+                out_n.append(spots[row, col])
+                go = inside[:, -1]
+                cursor[active] += side * width
+                active = active[go]
+                width, turn = min(2 * width, max(beam, 4_000_000 // max(len(active), 1))), turn + 1
+        return np.concatenate(out_q), self.order[np.concatenate(out_n)]
