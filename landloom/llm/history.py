@@ -55,6 +55,11 @@ class Shard(NamedTuple):
     dealt: bool
 
 
+def _graphs(nodes: int) -> int:
+    """Graphs of each kind of a shard: a power of two, so a graph of a small shard is cut up when the shard grows."""
+    return 1 << max(0, round(np.log2(max(nodes, 1) / GRAPH_NODES)))
+
+
 def covering(upto: int) -> list[tuple[int, int]]:
     """Shards (first segment, length) that cover segments 0 to upto - 1: the binary digits of `upto`."""
     out, at = [], 0
@@ -123,7 +128,7 @@ def history_rows(rows: DataFrame, *, area: str, segment: Column, source: str, ke
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
-    """The distinct nodes of rows: `kind`, `point`, the fields, and `text`.
+    """The nodes of rows: `kind`, `point`, the fields, and `text`.
 
     The point of a parcel is a hash of its area and id. The point of a record
     has a hash of its area and house number above, then how far its acres are
@@ -141,25 +146,64 @@ def _nodes(rows: DataFrame) -> DataFrame:
     text = F.concat_ws(_PART, F.col("area").cast("string"), clean(F.col("name")), clean(F.col("address")), F.array_join("parcels", ","))
     usable = each.filter("name is not null and address is not null and acres > 0").withColumn("code", code).filter("code is not null")
     records = usable.select(F.when(F.length("id") <= 12, RECORDS).otherwise(LONG_RECORDS).alias("kind"), point.alias("point"), item.alias("item"), F.col("code").alias("id"), "acres", "decimals", text.alias("text"))
-    return parcels.unionByName(records).distinct()
+    return parcels.unionByName(records)
+
+
+def _graph_row(graph: int, sub: int, kind: int, points: np.ndarray, field: dict[str, np.ndarray], texts: np.ndarray) -> dict:
+    """One graph as a row of arrays: distinct nodes in order. The point of a parcel says all, so nothing else is kept of it."""
+    if kind == PARCELS:
+        points = np.unique(points)
+        field, texts = {f: np.empty(0, t) for f, t in _FIELDS}, ()
+    else:
+        order = np.argsort(points, kind="stable")
+        once = order[~pd.DataFrame({"p": points[order], "i": field["item"][order], "t": texts[order]}).duplicated().to_numpy()]
+        points, field, texts = points[once], {f: v[once] for f, v in field.items()}, texts[once]
+    return {"graph": graph, "sub": sub, "kind": kind, "points": points.tobytes(), "links": build_links(len(points)).tobytes(), **{f: v.tobytes() for f, v in field.items()}, "texts": _END.join(texts).encode()}
 
 
 def _build(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
-    """One graph as a row of arrays, its nodes in order."""
+    """The graph of the nodes of one group."""
     points = nodes["point"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(points, kind="stable")
-    out = {"graph": key[0], "sub": key[1], "kind": int(nodes["kind"].iloc[0]), "points": points[order].tobytes(), "links": build_links(len(points)).tobytes()}
-    bare = out["kind"] == PARCELS  # the point of a parcel says all
-    for f, t in _FIELDS:
-        out[f] = b"" if bare else nodes[f].to_numpy(t)[order].tobytes()
-    out["texts"] = b"" if bare else _END.join(nodes["text"].to_numpy()[order]).encode()
-    return pd.DataFrame([out])
+    return pd.DataFrame([_graph_row(key[0], key[1], int(nodes["kind"].iloc[0]), points, {f: nodes[f].to_numpy(t) for f, t in _FIELDS}, nodes["text"].to_numpy())])
 
 
 def _opened(row: pd.Series) -> tuple[int, Graph, dict[str, np.ndarray]]:
     return int(row["kind"]), Graph.stored(row["points"], row["links"]), {f: np.frombuffer(row[f], t) for f, t in _FIELDS}
 
 
+def _texts(row: pd.Series) -> np.ndarray:
+    return np.array(row["texts"].decode().split(_END), object)
+
+
+def _place(kind: int, points: np.ndarray) -> np.ndarray:
+    """The part of a point by whose low bits a graph is chosen."""
+    return points if kind == PARCELS else points >> np.uint64(ACRE_BITS + 2)
+
+
+def _split(graphs: int):
+    """Stored graphs cut up into those of a shard of more graphs."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, row in batch.iterrows():
+                kind, graph, field = _opened(row)
+                number = (_place(kind, graph.points) & np.uint64(graphs - 1)).astype(np.int64)
+                texts = _texts(row) if kind != PARCELS else None
+                for g in np.unique(number):
+                    mine = number == g
+                    yield pd.DataFrame([_graph_row(kind * graphs + int(g), 0, kind, graph.points[mine], {f: v[mine] for f, v in field.items()} if kind != PARCELS else {}, texts[mine] if kind != PARCELS else ())])
+
+    return run
+
+
+def _merge(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+    """One graph of the nodes of several."""
+    opened = [_opened(row) for _, row in parts.iterrows()]
+    kind = opened[0][0]
+    texts = np.concatenate([_texts(row) for _, row in parts.iterrows()]) if kind != PARCELS else ()
+    field = {f: np.concatenate([o[2][f] for o in opened]) for f, _ in _FIELDS}
+    return pd.DataFrame([_graph_row(key[0], key[1], kind, np.concatenate([o[1].points for o in opened]), field, texts)])
+
+
 def _unfolded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The nodes of stored graphs, one row each."""
     for batch in batches:
@@ -168,7 +212,7 @@ def _unfolded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             points = graph.points.view(np.int64)
             if kind == PARCELS:
                 field = {f: points if f == "item" else np.zeros(len(points), t) for f, t in _FIELDS}
-            yield pd.DataFrame({"kind": np.int32(kind), "point": points, **field, "text": row["texts"].decode().split(_END) if kind != PARCELS else ""})
+            yield pd.DataFrame({"kind": np.int32(kind), "point": points, **field, "text": _texts(row) if kind != PARCELS else ""})
 
 
 def _same_record(a: str, b: str, x: str, y: str) -> bool:
@@ -210,7 +254,7 @@ def _find(graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
             q, n = q[near], n[near]
             slip = one_slip(number[q], field["id"][n], base)
             for i, j in zip(q[slip], n[slip]):
-                stored = stored or row["texts"].decode().split(_END)
+                stored = _texts(row) if stored is None else stored
                 if (item[i], field["item"][j]) not in out and _same_record(texts[i], stored[j], _spelled(number[i], base), _spelled(field["id"][j], base)):
                     out.add((item[i], field["item"][j]))
     return pd.DataFrame({"kind": np.int32(kind), "q": np.array([a for a, _ in out], np.int64), "n": np.array([b for _, b in out], np.int64)})
@@ -263,20 +307,22 @@ class History:
 
     def _graph(self, nodes: DataFrame, shard: Shard) -> DataFrame:
         place = F.when(F.col("kind") == PARCELS, F.col("point")).otherwise(F.shiftrightunsigned("point", ACRE_BITS + 2))
-        return nodes.withColumn("graph", F.col("kind") * shard.graphs + F.pmod(F.xxhash64(place), F.lit(shard.graphs)).cast("int"))
+        return nodes.withColumn("graph", F.col("kind") * shard.graphs + F.pmod(place, F.lit(shard.graphs)).cast("int"))
 
     def _write(self, nodes: DataFrame, first: int, length: int, size: int) -> None:
-        """Write a shard of distinct nodes; a graph of too many nodes is dealt to several by their numbers."""
-        shard = Shard(first, length, max(1, round(size / GRAPH_NODES)), size, False)
+        """Write a shard; of a graph of too many nodes the distinct ones are dealt to several by their parcels."""
+        shard = Shard(first, length, _graphs(size), size, False)
         known = self._graph(nodes, shard)
         large = known.groupBy("graph").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 3 * GRAPH_NODES).select("graph", F.ceil(F.col("n") / GRAPH_NODES).cast("int").alias("subs"))
         if not large.isEmpty():
-            shard = shard._replace(dealt=True)
+            shard, known = shard._replace(dealt=True), known.distinct()
             large.coalesce(1).write.parquet(self._at("shards", f"{first}-{length}-dealt"))
         known = self._dealt(known, shard).withColumn("sub", F.pmod("item", F.col("subs")).cast("int"))
+        self._save(known.repartition(self.parts, "graph", "sub").groupBy("graph", "sub").applyInPandas(_build, _GRAPH), shard)
+
+    def _save(self, built: DataFrame, shard: Shard) -> None:
         name = f"shard_{uuid.uuid4().hex}"
-        built = known.repartition(self.parts, "graph", "sub").groupBy("graph", "sub").applyInPandas(_build, _GRAPH)
-        built.write.format("parquet").bucketBy(self.parts, "graph", "sub").option("path", self._at("shards", f"{first}-{length}")).saveAsTable(name)
+        built.write.format("parquet").bucketBy(self.parts, "graph", "sub").option("path", self._at("shards", f"{shard.first}-{shard.length}")).saveAsTable(name)
         self._names[shard] = name
         self.shards.append(shard)
 
@@ -287,12 +333,16 @@ class History:
         return nodes.join(large, "graph", "left").withColumn("subs", F.coalesce("subs", F.lit(1)))
 
     def _compact(self) -> None:
-        """Merge the last two shards as long as they are of equal length."""
+        """Merge the last two shards as long as they are of equal length; graphs move whole, without unfolding their nodes."""
         while len(self.shards) > 1 and self.shards[-1].length == self.shards[-2].length:
             b, a = self.shards.pop(), self.shards.pop()
-            schema = "kind int, point long, item long, id long, acres double, decimals int, text string"
-            nodes = self._table(a).unionAll(self._table(b)).mapInPandas(_unfolded, schema).distinct()
-            self._write(cut(nodes, "merged"), a.first, a.length + b.length, a.nodes + b.nodes)
+            both, size = self._table(a).unionAll(self._table(b)), a.nodes + b.nodes
+            if a.dealt or b.dealt:
+                nodes = both.mapInPandas(_unfolded, "kind int, point long, item long, id long, acres double, decimals int, text string")
+                self._write(cut(nodes, "merged"), a.first, a.length + b.length, size)
+            else:
+                parts = both.mapInPandas(_split(_graphs(size)), _GRAPH).repartition(self.parts, "graph", "sub")
+                self._save(parts.groupBy("graph", "sub").applyInPandas(_merge, _GRAPH), Shard(a.first, a.length + b.length, _graphs(size), size, False))
             for old in (a, b):
                 self.spark.sql(f"drop table {self._names.pop(old)}")
                 discard(self.spark, self._at("shards", f"{old.first}-{old.length}"), now=True)
@@ -300,11 +350,11 @@ class History:
     def add(self, rows: DataFrame) -> None:
         """Accept the rows of the next segment; their own `segment` is not read."""
         segment, self.segments = self.segments, self.segments + 1
-        house = F.when(F.col("name").isNotNull(), house_number(F.col("address")))
-        rows = rows.filter(F.size("parcels") > 0).withColumn("house", house)
-        rows.write.parquet(self._at("rows", f"segment={segment}"))
-        rows = self.spark.read.parquet(self._at("rows", f"segment={segment}"))
-        nodes = cut(_nodes(rows), "nodes")
+        rows = rows.filter(F.size("parcels") > 0)
+        # What was found is named from here; nothing else of a row is kept but the nodes of its graphs.
+        rows.select("source", "key", F.transform("parcels", lambda x: F.xxhash64("area", x)).alias("items")).write.parquet(self._at("rows", f"segment={segment}"))
+        house = F.when(F.col("name").isNotNull() & (F.col("acres") > 0), house_number(F.col("address")))
+        nodes = cut(_nodes(rows.withColumn("house", house)), "nodes")
         self._write(nodes, segment, 1, nodes.count())
         if segment:
             self._search(nodes, segment)
@@ -332,7 +382,7 @@ class History:
         empty = "source string, key string, hist_source string, hist_key string"
         if self.segments < 2:
             return self.spark.createDataFrame([], empty).select("key", "hist_source", "hist_key")
-        held = self.spark.read.parquet(self._at("rows")).select("segment", "source", "key", F.explode("parcels").alias("id"), "area").select("segment", "source", "key", F.xxhash64("area", "id").alias("item"))
+        held = self.spark.read.parquet(self._at("rows")).select("segment", "source", "key", F.explode("items").alias("item"))
         late = held.filter(F.col("segment") > 0 if segment is None else F.col("segment") == segment).select(F.col("segment").alias("late"), F.col("key").alias("row_key"), "item")
         found = self.spark.read.parquet(self._at("found"))
         hits = found.filter(F.col("kind") == PARCELS).select(F.col("segment").alias("late"), F.col("q").alias("item"), F.col("n").alias("node")).distinct()

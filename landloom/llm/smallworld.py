@@ -56,7 +56,8 @@ class Graph:
         n = len(self.points)
         at = np.full(len(queries), n // 2, np.int64)
         far = self._far(at, queries)
-        active = np.flatnonzero(far > 0)
+        active = np.argsort(queries)  # near queries go by the same nodes
+        active = active[far[active] > 0]
         while len(active):
             here = at[active]
             side = np.where(self.points[here] < queries[active], 1, -1)
