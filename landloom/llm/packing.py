@@ -161,7 +161,9 @@ def fill_containers(pieces: DataFrame, *, limits: tuple[int, int, int] = (TOKENS
     def packed(rows: DataFrame, total: int, salt: int) -> DataFrame:
         parts = max(1, round(total / shard))
         dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc", "piece_no", F.lit(salt)), F.lit(parts)))
-        return dealt.groupBy("shard").applyInPandas(_pack_shard(limits), schema)
+        # A stated number of tasks: small rows that take long to pack are not put into one.
+        tasks = min(parts, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        return dealt.repartition(tasks, "shard").groupBy("shard").applyInPandas(_pack_shard(limits), schema)
 
     first = cut(packed(known, known.count(), 1), "packed")
     fill = first.groupBy("shard", "box").agg(F.sum("n_tokens").alias("fill"))
