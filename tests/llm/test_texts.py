@@ -54,6 +54,22 @@ def test_leaks_of_passages_with_few_seeds(spark):
     assert {(r["doc"], r["item"]) for r in found.collect()} == {(1, i) for i in range(60, 65)}
 
 
+def test_repeated_items_and_blocks_of_items_lose_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    names = [f"{a}{b}" for a in ("Kod", "Bal", "Mir", "Lum", "Fen", "Gud") for b in ("nux", "mat", "ler", "dus", "gan", "pav", "bim")]
+    texts = [ITEM.replace("Gemgudgor", rng.choice(names)).replace("Pavmeblas", rng.choice(names)).replace("Matbonbal", rng.choice(names)).replace("638", str(rng.integers(100, 999))).replace("344.84", f"{rng.integers(1, 999)}.{rng.integers(10, 99)}") for _ in range(60)]
+    docs = spark.createDataFrame([(k, f"Taxes were paid late. {texts[k]} The barn was burned.") for k in range(0, 60, 6)], "doc_id long, text string")
+
+    def leaked(copies):
+        items = spark.createDataFrame([(100 * c + k, t) for c in range(copies) for k, t in enumerate(texts)], "item_id long, item_text string")
+        return {(r["doc"], r["item"]) for r in find_leaks(docs, "doc_id", "text", items, "item_id", "item_text").collect()}
+
+    once = leaked(1)
+    assert once >= {(k, k) for k in range(0, 60, 6)} and leaked(4) == {(d, 100 * c + i) for c in range(4) for d, i in once}
+    monkeypatch.setattr(leaks, "BLOCK_ITEMS", 100)
+    assert leaked(4) >= {(k, 100 * c + k) for c in range(4) for k in range(0, 60, 6)}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from("abcdefgh12"), min_size=23, max_size=40), st.lists(st.integers(0, 39), max_size=12))
 def test_shared_words_refuse_no_leak(item, changed):
