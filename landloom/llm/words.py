@@ -7,17 +7,26 @@ from functools import lru_cache
 
 # Given names and the short and pet forms in common use for each.
 GIVEN = {
-    "ANDRÉ": "ANDY", "ANTHONY": "TONY", "BEATRICE": "BEA", "BENJAMIN": "BEN BENJ BENNY", "CHARLES": "CHARLIE CHUCK CHAS CHARLEY",
-    "CONSUELO": "CHELO", "CORNELIUS": "NEIL CORNIE", "DEBORAH": "DEBBIE DEB", "DONOVAN": "DON DONNIE", "DOROTHY": "DOT DOTTIE DOLLY",
-    "EDWARD": "ED EDDIE EDW NED", "ELIZABETH": "BETTY LIZ BETH LIZZIE ELIZ", "ENRIQUE": "KIKO", "FRANCISCO": "PACO PANCHO",
-    "FREDERICK": "FRED FREDDY FREDK", "GERALDINE": "GERRI", "GREGORY": "GREG", "GUADALUPE": "LUPE", "HAROLD": "HAL HARRY",
-    "HUMBERTO": "BETO", "IGNACIO": "NACHO", "INÉS": "", "JACQUELINE": "JACKIE", "JAMES": "JIM JIMMY JAS JAMIE", "JOSEPH": "JOE JOS JOEY",
-    "JOSÉ LUIS": "PEPE", "KATHERINE": "KATE KATHY KATIE KAY", "KENNETH": "KEN KENNY", "LAWRENCE": "LARRY LAWR", "LEONARD": "LEN LENNY",
-    "MARGARET": "PEGGY MAGGIE MEG", "MERCEDES": "MECHE", "MICHAEL": "MIKE MICK MICKEY", "NATHANIEL": "NATE NAT", "OPHELIA": "",
-    "RANDOLPH": "RANDY", "REBECCA": "BECKY", "RICHARD": "DICK RICK RICH", "ROBERT": "BOB ROB ROBT BOBBY", "ROSALINDA": "LINDA ROSA",
-    "STEPHEN": "STEVE", "SUSANNAH": "SUSIE SUE", "THEODORE": "TED THEO TEDDY", "THOMAS": "TOM THOS TOMMY", "VALENTINA": "VAL",
-    "VIRGINIA": "GINNY", "WILLIAM": "BILL WILL WM BILLY", "ZACHARY": "ZACH ZACK",
+    "ABRAHAM": "ABE", "ADRIAN": "", "ALBERT": "AL BERT BERTIE", "ALEJANDRO": "ALEX ALE", "ALEXANDER": "ALEX ALEC AL SANDY", "ALEXANDRA": "ALEX SANDRA LEXI SANDY",
+    "ALFRED": "AL FRED ALF", "ALICE": "ALI", "AMANDA": "MANDY", "ANDREA": "ANDI", "ANDRÉ": "ANDY", "ANDREW": "ANDY DREW", "ANGELA": "ANGIE", "ANNA": "ANN ANNIE", "ANTHONY": "TONY ANT", "ANTONIO": "TONY TOÑO",
+    "ARTHUR": "ART ARTIE", "BARBARA": "BARB BABS", "BEATRICE": "BEA TRIXIE", "BENJAMIN": "BEN BENJ BENNY", "BRIAN": "", "CARLOS": "", "CAROLINE": "CAROL CARRIE", "CATHERINE": "CATHY KATE CAT KIT",
+    "CHARLES": "CHARLIE CHUCK CHAS CHARLEY", "CHRISTINA": "CHRIS TINA CHRISTY", "CHRISTOPHER": "CHRIS KIT TOPHER", "CLARENCE": "", "CONSUELO": "CHELO", "CORNELIUS": "NEIL CORNIE", "CYNTHIA": "CINDY",
+    "DANIEL": "DAN DANNY", "DAVID": "DAVE DAVEY", "DEBORAH": "DEBBIE DEB DEBRA", "DENNIS": "DENNY", "DOLORES": "LOLA", "DONALD": "DON DONNIE", "DONOVAN": "DON DONNIE", "DOROTHY": "DOT DOTTIE DOLLY", "DOUGLAS": "DOUG",
+    "EDUARDO": "LALO", "EDWARD": "ED EDDIE EDW NED TED TEDDY", "EDWIN": "ED EDDIE", "ELEANOR": "ELLIE NELL NORA", "ELIZABETH": "BETTY LIZ BETH LIZZIE ELIZ ELIZA BETSY", "EMILY": "EM", "ENRIQUE": "KIKO QUIQUE", "ERNEST": "ERNIE",
+    "EUGENE": "GENE", "EVELYN": "EVE", "FERNANDO": "NANDO", "FLORENCE": "FLO", "FRANCES": "FRAN FRANNIE", "FRANCIS": "FRANK", "FRANCISCO": "PACO PANCHO FRANK", "FRANKLIN": "FRANK", "FREDERICK": "FRED FREDDY FREDK",
+    "GABRIEL": "GABE", "GEORGE": "GEO", "GERALD": "JERRY GERRY", "GERALDINE": "GERRI", "GREGORY": "GREG", "GUADALUPE": "LUPE", "HAROLD": "HAL HARRY", "HELEN": "NELL", "HENRY": "HANK HARRY HAL",
+    "HERBERT": "HERB BERT", "HOWARD": "HOWIE", "HUMBERTO": "BETO", "IGNACIO": "NACHO", "INÉS": "", "ISABEL": "BELLA CHABELA", "ISAAC": "IKE", "JACOB": "JAKE", "JACQUELINE": "JACKIE", "JAMES": "JIM JIMMY JAS JAMIE",
+    "JANET": "JAN", "JEFFREY": "JEFF", "JENNIFER": "JEN JENNY", "JESSICA": "JESS JESSIE", "JESÚS": "CHUY", "JOHN": "JACK JOHNNY JNO", "JONATHAN": "JON", "JOSEPH": "JOE JOS JOEY", "JOSÉ": "PEPE", "JOSÉ LUIS": "PEPE",
+    "JOSÉ MARÍA": "CHEMA", "JOSHUA": "JOSH", "JUAN": "", "JUAN CARLOS": "JUANCA", "JUDITH": "JUDY", "JULIAN": "JULES", "KATHERINE": "KATE KATHY KATIE KAY KATHRYN", "KENNETH": "KEN KENNY", "KIMBERLY": "KIM",
+    "LAWRENCE": "LARRY LAWR", "LEONARD": "LEN LENNY LEO", "LEWIS": "LEW", "LILLIAN": "LIL LILY", "LINDA": "", "LOUIS": "LOU LOUIE", "LUCILLE": "LUCY", "LUIS": "", "MANUEL": "MANNY MANOLO", "MARGARET": "PEGGY MAGGIE MEG MARGE", "MARÍA": "MARI",
+    "MARTHA": "MATTIE MARTY", "MARTIN": "MARTY", "MARY": "MOLLY POLLY", "MARY ANN": "MARYANN", "MATTHEW": "MATT", "MAXIMILIAN": "MAX", "MERCEDES": "MECHE", "MICHAEL": "MIKE MICK MICKEY", "MIGUEL": "", "MILDRED": "MILLIE", "NANCY": "NAN", "NATHANIEL": "NATE NAT NATHAN",
+    "NICHOLAS": "NICK", "OLIVER": "OLLIE", "OPHELIA": "", "PAMELA": "PAM", "PATRICIA": "PAT PATTY TRISH TRICIA", "PATRICK": "PAT PADDY", "PAUL": "", "PETER": "PETE", "PHILIP": "PHIL", "RACHEL": "RAE", "RAFAEL": "RAFA", "RANDOLPH": "RANDY", "RAYMOND": "RAY",
+    "REBECCA": "BECKY BECCA", "RICHARD": "DICK RICK RICH RICHIE", "ROBERT": "BOB ROB ROBT BOBBY BERT", "ROBERTO": "BETO", "ROGER": "", "RONALD": "RON RONNIE", "ROSALINDA": "LINDA ROSA", "RUTH": "", "SAMANTHA": "SAM", "SAMUEL": "SAM SAMMY SAML", "SANDRA": "SANDY",
+    "SARAH": "SALLY SADIE", "SHIRLEY": "", "STEPHANIE": "STEPH", "STEPHEN": "STEVE STEVEN", "SUSAN": "SUE SUSIE", "SUSANNAH": "SUSIE SUE", "TERESA": "TERRY TERE", "TERRENCE": "TERRY", "THEODORE": "TED THEO TEDDY",
+    "THOMAS": "TOM THOS TOMMY", "TIMOTHY": "TIM", "VALENTINA": "VAL", "VICTOR": "VIC", "VICTORIA": "VICKY TORI", "VINCENT": "VINCE", "VIRGINIA": "GINNY GINGER", "WALTER": "WALT WALLY", "WILLIAM": "BILL WILL WM BILLY LIAM", "ZACHARY": "ZACH ZACK",
 }
+#: Words that begin a surname of several words.
+PARTICLES = frozenset("DE DEL LA LAS LOS VAN VON DER DEN DI DA DOS DU ST SAN MC MAC".split())
 # Words for a kind of business and their abbreviations.
 BUSINESS = {
     "ACQUISITIONS": "ACQ", "AGGREGATES": "AGG AGGR", "ASSOCIATES": "ASSOC ASSOCS", "BUILDERS": "BLDRS", "CAPITAL": "CAP", "CATTLE": "CTL",
@@ -58,15 +67,26 @@ def plain(text: str) -> str:
 
 def forms(table: dict[str, str]) -> dict[str, str]:
     """Every writing of every entry, without accents and spaces, to the entry's plain form."""
-    out = {}
+    return {form: full for form, full in ((f, plain(name)) for name, others in table.items() for f in _writings(name, others))}
+
+
+def _writings(name: str, others: str) -> list[str]:
+    return [plain(f).replace(" ", "") for f in (name, *others.split())]
+
+
+def all_forms(table: dict[str, str]) -> dict[str, str]:
+    """Every writing to all entries that it may stand for, in order, with a slash between."""
+    out: dict[str, set[str]] = {}
     for name, others in table.items():
-        own = plain(name)
-        for form in (own, *others.split()):
-            out[form.replace(" ", "")] = own
-    return out
+        for form in _writings(name, others):
+            out.setdefault(form, set()).add(plain(name).replace(" ", ""))
+    return {form: "/".join(sorted(full)) for form, full in out.items()}
 
 
-GIVEN_FORM, BUSINESS_FORM, LEGAL_FORM = forms(GIVEN), forms(BUSINESS), forms(LEGAL)
+GIVEN_FORMS = all_forms(GIVEN)
+#: Given names of two words, joined.
+COMPOUND_FORMS = {f: f for f in (plain(n).replace(" ", "") for n in GIVEN if " " in n)}
+BUSINESS_FORM, LEGAL_FORM = forms(BUSINESS), forms(LEGAL)
 GENERATION_FORM, STREET_FORM, DIRECTION_FORM, STATE_FORM = forms(GENERATION), forms(STREET), forms(DIRECTION), forms(STATE)
 
 
@@ -97,11 +117,17 @@ def distance(a: str, b: str, most: int) -> int:
 
 
 class Snap:
-    """Nearest entry of a closed word list by edit distance; answers are kept."""
+    """Nearest entry of a closed word list by edit distance; answers are kept.
+
+    Of several entries equally near all meanings count, with a slash between.
+    """
 
     def __init__(self, table: dict[str, str]) -> None:
         self.table = table
-        self.long = [w for w in table if len(w) > 3]
+        self.long: dict[int, list[str]] = {}
+        for w in table:
+            if len(w) > 3:
+                self.long.setdefault(len(w), []).append(w)
         self.near = lru_cache(200_000)(self._near)
 
     def _near(self, token: str) -> str | None:
@@ -109,11 +135,13 @@ class Snap:
         if exact or len(token) < 4:
             return exact
         most = 1 if len(token) < 7 else 2
-        best = None
-        for w in self.long:
-            if abs(len(w) - len(token)) <= most and (w[0] == token[0] or w[1] == token[0] or w[0] == token[1] or w[-1] == token[-1]):
-                limit = min(most, 1 if len(w) < 6 else 2)
-                d = distance(token, w, limit)
-                if d <= limit and (best is None or (d, w) < best):
-                    best = (d, w)
-        return self.table[best[1]] if best else None
+        best, found = most + 1, []
+        for size in range(len(token) - most, len(token) + most + 1):
+            for w in self.long.get(size, ()):
+                if w[0] == token[0] or w[1] == token[0] or w[0] == token[1] or w[-1] == token[-1]:
+                    limit = min(best, most, 1 if len(w) < 6 else 2)
+                    d = distance(token, w, limit)
+                    if d <= limit:
+                        found = [*(found if d == best else ()), w]
+                        best = d
+        return "/".join(sorted({m for w in found for m in self.table[w].split("/")})) or None
