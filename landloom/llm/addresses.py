@@ -101,17 +101,21 @@ def parse(text: str) -> Address:
                     number, i = rest[i], i + 1
                 if i < n and rest[i] in DIRECTION_FORM and i + 1 < n:
                     direction, i = DIRECTION_FORM[rest[i]], i + 1
-                while i < n:
-                    x = rest[i]
-                    if name and x in STREET_FORM:
-                        kind, i = STREET_FORM[x], i + 1
-                        break
-                    if name and (x in _UNITS or x.isdigit()):
-                        break
-                    if len(name) == 2 or len(name) == 1 and x not in _FEATURES and not (i + 1 < n and rest[i + 1] in STREET_FORM) and (n - i > 1 or st or zp):
-                        break
-                    name.append(x)
-                    i += 1
+                # All words up to the street type, of two types side by side the last.
+                end = next((k for k in range(i + 1, n) if rest[k] in STREET_FORM or rest[k] in _UNITS or rest[k].isdigit()), n)
+                if end < n and rest[end] in STREET_FORM and not rest[i].isdigit():
+                    while end + 1 < n and rest[end + 1] in STREET_FORM:
+                        end += 1
+                    name, kind, i = rest[i:end], STREET_FORM[rest[end]], end + 1
+                else:  # without one a word belongs to the street, or two that end in a word for a place in the land
+                    while i < n:
+                        x = rest[i]
+                        if name and (x in _UNITS or x.isdigit()):
+                            break
+                        if len(name) == 2 or len(name) == 1 and x not in _FEATURES and (n - i > 1 or st or zp):
+                            break
+                        name.append(x)
+                        i += 1
                 street = " ".join(name)
                 if not number and i < n and rest[i].isdigit():
                     number, i = rest[i], i + 1

@@ -12,20 +12,21 @@ from pyspark.sql import functions as F
 from landloom.functions.text import key_text
 from landloom.llm.addresses import Address, parse
 from landloom.llm.classes import components
-from landloom.llm.words import FEATURE, Snap, distance
+from landloom.llm.words import PLACE_FORM, distance
 from landloom.missing import TABLE_TOKENS, is_missing
 from landloom.session import cut
 
 #: Bands and hashes per band of the MinHash signature.
-BANDS, ROWS = 16, 2
+BANDS, ROWS = 24, 2
 #: Affine gap costs of a part left out, and the greatest cost of one location.
 GAP_OPEN, GAP_MORE, MOST_COST = 1.0, 0.25, 5.0
+#: Costs of an edit within a word, and of a word for its abbreviation.
+EDIT, ABBREVIATED = 0.6, 0.2
 _NEVER = 99.0
 _PARTS = Address._fields
 _rng = np.random.default_rng(20240501)
 _MUL = (_rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _ADD = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64)
-_FEATURE_SNAP = Snap({w: w for w in FEATURE})
 
 
 def _fnv(text: str) -> int:
@@ -48,23 +49,24 @@ def _gram(text: str) -> int:
 
 
 def block(a: Address) -> str:
-    """What one location always has in common: house or box, unit, feature word of the street."""
+    """What the alignment demands to be equal: house or box number and unit; of a numbered road also its number."""
     words = a.street.split()
-    if a.street == "BOX" or words and words[0] in ("FM", "CR"):
-        return f"{a.number}/{a.unit}/{a.street}"
-    feature = _FEATURE_SNAP.near(words[-1]) or words[-1] if len(words) > 1 else ""
-    return f"{a.number}/{a.unit}/{feature}"
+    return f"{a.number}/{a.unit}/{a.street if words and words[0] in ('BOX', 'FM', 'CR') else ''}"
 
 
 def shingles(a: Address) -> list[int]:
-    """Hashes of q-grams of the street's own name, or of the whole token where it is a number."""
+    """Hashes of the words of the street and of the q-grams of each; of the whole street where it is a number or a box."""
     words = a.street.split()
     if not words:
         return []
     if words[0] in ("BOX", "FM", "CR"):
         return [_gram("=" + a.street)]
-    name = f"^{words[0]}$"
-    return [_gram(name[i:i + 2]) for i in range(len(name) - 1)]
+    out = set()
+    for w in words:
+        w = PLACE_FORM.get(w, w)
+        padded = f"^{w}$"
+        out.update(("=" + w, *(padded[i:i + 2] for i in range(len(padded) - 1))))
+    return [_gram(g) for g in sorted(out)]
 
 
 def bands(blocks: list[str], grams: list[list[int]]) -> list[list[int]]:
@@ -91,24 +93,27 @@ def bands(blocks: list[str], grams: list[list[int]]) -> list[list[int]]:
 def _word_cost(x: str, y: str) -> float:
     if x == y:
         return 0.0
+    if PLACE_FORM.get(x, x) == PLACE_FORM.get(y, y):
+        return ABBREVIATED
     if any(c.isdigit() for c in x + y):
         return _NEVER
     most = 1 if max(len(x), len(y)) < 6 else 2 if max(len(x), len(y)) < 9 else 3
     d = distance(x, y, most)
-    return 0.6 * d if d <= most else _NEVER
+    return EDIT * d if d <= most else _NEVER
 
 
 def _tokens(a: Address) -> list[tuple[str, str]]:
     words = a.street.split()
-    parts = [("N", a.number), ("D", a.direction), *(("S", w) for w in words), ("K", a.kind), ("U", a.unit), ("C", a.city.replace(" ", "")), ("T", a.state), ("Z", a.zip)]
+    parts = [("N", a.number), ("D", a.direction), *(("S", w) for w in words), ("K", a.kind), ("U", a.unit), ("C", "".join(PLACE_FORM.get(w, w) for w in a.city.split())), ("T", a.state), ("Z", a.zip)]
     return [(k, v) for k, v in parts if v]
 
 
 def align(a: Address, b: Address) -> float:
     """Cost of the best affine-gap alignment of the parts of two addresses.
 
-    Abbreviations have been replaced by the dictionaries, so they cost nothing.
-    Words of a street or city cost by edit distance; different numbers, units,
+    The parser has put directions, street types and states into one writing;
+    other words cost by the dictionary of abbreviations, else by edit distance;
+    different numbers, units,
     directions, street types, states and codes never align. A part may be left
     out at the price of a gap, but not the number, the street, or the unit.
     """
@@ -229,9 +234,9 @@ def _node() -> Column:
 def locations(records: DataFrame) -> DataFrame:
     """The location of each distinct address text of an area: `area`, `address_key`, `place`.
 
-    Equal components are one node. Nodes are banded by MinHash over the q-grams
-    of the street name, blocked by house or box, unit and feature word;
-    candidates are verified by the alignment; components of the links are split
+    Equal components are one node. Nodes are banded by MinHash over the words
+    and q-grams of the street, within what the alignment demands to be equal
+    (house or box number, unit; a unit left out is another location); candidates are verified by the alignment; components of the links are split
     into locations. A text that cannot be read as an address is a location of
     its own. An empty table gives an empty result.
     """
@@ -259,14 +264,16 @@ def locations(records: DataFrame) -> DataFrame:
 def same_place_pairs(records: DataFrame) -> DataFrame:
     """Pairs of records of one area at one location whose texts differ: `row_a`, `field_a`, `row_b`, `field_b`.
 
-    Locations written one way only, however many records they hold, give no
-    pair and leave before the join.
+    Locations written one way only, however many records they hold, leave
+    first. The different texts of a location are paired, and the records put to
+    each pair, so records of one text never meet.
     """
-    places = cut(locations(records), "places")
+    places = cut(locations(records).select("area", "place", F.xxhash64("area", "address_key").alias("text")), "places")
     several = places.groupBy("area", "place").agg(F.count(F.lit(1)).alias("ways")).filter("ways > 1").select("area", "place")
-    texts = places.join(several, ["area", "place"], "left_semi")
-    found = cut(records.join(texts, ["area", "address_key"]).select("area", "place", "address_key", "row", "field"), "found")
-    a, b = found.alias("a"), found.alias("b")
-    before = (F.col("a.row") < F.col("b.row")) | ((F.col("a.row") == F.col("b.row")) & (F.col("a.field") < F.col("b.field")))
-    on = (F.col("a.area") == F.col("b.area")) & (F.col("a.place") == F.col("b.place")) & (F.col("a.address_key") != F.col("b.address_key")) & before
-    return a.join(b, on).select(F.col("a.row").alias("row_a"), F.col("a.field").alias("field_a"), F.col("b.row").alias("row_b"), F.col("b.field").alias("field_b"))
+    texts = cut(places.join(several, ["area", "place"], "left_semi"), "texts")
+    found = cut(records.select("row", "field", F.xxhash64("area", "address_key").alias("text")).join(texts.select("text"), "text", "left_semi"), "found")
+    a, b = texts.withColumnRenamed("text", "text_a"), texts.withColumnRenamed("text", "text_b")
+    pairs = a.join(b, ["area", "place"]).filter("text_a < text_b").select("text_a", "text_b")
+    one, two = (found.select(F.col("text").alias(f"text_{s}"), F.struct("row", "field").alias(s)) for s in "ab")
+    both = pairs.join(one, "text_a").join(two, "text_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return both.select(F.col("a.row").alias("row_a"), F.col("a.field").alias("field_a"), F.col("b.row").alias("row_b"), F.col("b.field").alias("field_b"))

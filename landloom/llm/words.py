@@ -48,6 +48,13 @@ STREET = {
     "LOOP": "LP", "PKWY": "PARKWAY PKY", "PL": "PLACE PLC", "RD": "ROAD", "ST": "STREET STR", "TRL": "TRAIL TR",
     "HWY": "HIGHWAY", "WAY": "WY", "TER": "TERRACE", "SQ": "SQUARE",
 }
+# Words of streets and cities and their abbreviations.
+PLACE_WORD = {
+    "BEND": "BND", "BLUFF": "BLF", "BRANCH": "BR", "BRIDGE": "BRG", "CANYON": "CYN", "CENTER": "CTR CENTRE CNTR", "CREEK": "CRK CK", "CROSSING": "XING CRSSNG", "ESTATES": "EST ESTS", "FALLS": "FLS", "FERRY": "FRY", "FOREST": "FRST",
+    "FORK": "FRK", "FORT": "FT", "GARDENS": "GDNS", "GLEN": "GLN", "GROVE": "GRV", "HARBOR": "HBR", "HEIGHTS": "HTS HGTS", "HILL": "HL", "HILLS": "HLS", "HOLLOW": "HOLW", "ISLAND": "IS ISL", "JUNCTION": "JCT", "KNOLL": "KNL", "LAKE": "LK",
+    "LANDING": "LNDG", "MEADOW": "MDW", "MEADOWS": "MDWS", "MILL": "ML", "MOUNT": "MT", "MOUNTAIN": "MTN", "ORCHARD": "ORCH", "POINT": "PT", "PORT": "PRT", "RANCH": "RNCH", "RIDGE": "RDG", "RIVER": "RIV", "SPRING": "SPG", "SPRINGS": "SPGS SPRGS", "STATION": "STA",
+    "VALLEY": "VLY", "VIEW": "VW", "VILLAGE": "VLG", "VISTA": "VIS",
+}
 DIRECTION = {"N": "NORTH", "S": "SOUTH", "E": "EAST", "W": "WEST"}
 FEATURE = "BEND BLUFF CANYON CREEK CROSSING GROVE HILL HOLLOW KNOLL LANDING MEADOW MILL OAKS ORCHARD PASTURE POINT RIDGE SPRINGS".split()
 CITY_END = "CITY GROVE SPRINGS".split()
@@ -87,7 +94,7 @@ GIVEN_FORMS = all_forms(GIVEN)
 #: Given names of two words, joined.
 COMPOUND_FORMS = {f: f for f in (plain(n).replace(" ", "") for n in GIVEN if " " in n)}
 BUSINESS_FORM, LEGAL_FORM = forms(BUSINESS), forms(LEGAL)
-GENERATION_FORM, STREET_FORM, DIRECTION_FORM, STATE_FORM = forms(GENERATION), forms(STREET), forms(DIRECTION), forms(STATE)
+GENERATION_FORM, STREET_FORM, DIRECTION_FORM, STATE_FORM, PLACE_FORM = forms(GENERATION), forms(STREET), forms(DIRECTION), forms(STATE), forms(PLACE_WORD)
 
 
 def distance(a: str, b: str, most: int) -> int:

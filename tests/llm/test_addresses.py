@@ -7,6 +7,7 @@ SAME = [
     ("1467 LERNUXDAD CREEK CT, GUDLOTKITVILLE AR 81482", "1467 LERNUXDAD CREEK CT\nGUDLOTKITVILLE AR 81482"), ("PO BOX 115, NOVDINMATBURG CA 31501", "pob 115, novdinmatburg,ca 31501-7311"),
     ("1236 FM 145 APT 87, KESMOSGANBURG TX 77852", "1236 F.M. 145 NO 87, KESMOSGANBURG TEXAS 77852"), ("1212 BALFAMKES POINT LOOP APT 17, FOLNISGEMBURG TX 79109", "BALLFAMKES POINT LP. 1212  # 17;  FOLNISGEMBURG TX 79109"),
     ("1658 CR 136, FOLGORKIT GROVE TX 79477", "1658 c.r. 136"), ("2758 W DELMEBGUD MILL RD, KARFAMNUXBURG TX 78504", "% TAX DEPT, KARFAMNUXBURG TX 78504, 2758 DELMEBGUD MILL RD"),
+    ("12 Martin Luther King Jr Blvd, Kyle TX", "12 MARTIN LUTHER KING JR BOULEVARD, KYLE, TEXAS"), ("10 OLD MILL CREEK RANCH RD, KYLE", "10 Old Mill Crk Ranch Road"), ("7 PARK PLACE DR, KYLE TX", "7 Park Place Drive, Kyle TX"), ("5 ELM CREEK ST, MARBLE FALLS TX", "5 ELM CRK ST, MARBLE FLS TX"),
     ("20 FAMFOLFOL POINT DR, DINGANDUS SPRINGS TX", "DINGANDUS SPRINGS TX 20 FAMFOLFOL POINT DR"),
 ]
 OTHER = [
@@ -25,6 +26,12 @@ def test_other_location(a, b):
     assert align(parse(a), parse(b)) > MOST_COST
 
 
+@pytest.mark.parametrize(("text", "street", "kind", "city"), [("12 Martin Luther King Jr Blvd", "MARTIN LUTHER KING JR", "BLVD", ""), ("10 OLD MILL CREEK RANCH RD, KYLE", "OLD MILL CREEK RANCH", "RD", "KYLE"), ("3 PARK PLACE DR APT 4, KYLE TX 78640", "PARK PLACE", "DR", "KYLE")])
+def test_streets_of_any_number_of_words(text, street, kind, city):
+    a = parse(text)
+    assert (a.street, a.kind, a.city) == (street, kind, city)
+
+
 @pytest.mark.parametrize("text", ["", " ", ",;,", "#", "% ", "APT", "N N N", "é" * 50_000, "1" * 300, "PO BOX", "FM", "TX 78666"])
 def test_nothing_raises(text):
     a = parse(text)
