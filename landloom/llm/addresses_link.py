@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landloom.functions.text import key_text
@@ -17,7 +17,7 @@ from landloom.missing import TABLE_TOKENS, is_missing
 from landloom.session import cut
 
 #: Bands and hashes per band of the MinHash signature.
-BANDS, ROWS = 24, 2
+BANDS, ROWS = 12, 2
 #: Affine gap costs of a part left out, and the greatest cost of one location.
 GAP_OPEN, GAP_MORE, MOST_COST = 1.0, 0.25, 5.0
 #: Costs of an edit within a word, and of a word for its abbreviation.
@@ -65,7 +65,8 @@ def shingles(a: Address) -> list[int]:
     for w in words:
         w = PLACE_FORM.get(w, w)
         padded = f"^{w}$"
-        out.update(("=" + w, *(padded[i:i + 2] for i in range(len(padded) - 1))))
+        # A street's only word is no more than its q-grams.
+        out.update((*(["=" + w] if len(words) > 1 else []), *(padded[i:i + 2] for i in range(len(padded) - 1))))
     return [_gram(g) for g in sorted(out)]
 
 
@@ -153,7 +154,6 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = pd.DataFrame(parsed, columns=list(_PARTS))
         out.insert(0, "area", batch["area"].to_numpy())
         out.insert(1, "address_key", batch["address_key"].to_numpy())
-        out["block"] = [block(a) for a in parsed]
         yield out
 
 
@@ -242,16 +242,18 @@ def locations(records: DataFrame) -> DataFrame:
     """
     texts = records.groupBy("area", "address_key").agg(F.count(F.lit(1)).alias("n"))
     area_type = records.schema["area"].dataType.simpleString()
-    schema = f"area {area_type}, address_key string, " + ", ".join(f"`{p}` string" for p in [*_PARTS, "block"])
+    schema = f"area {area_type}, address_key string, " + ", ".join(f"`{p}` string" for p in _PARTS)
     parsed = texts.select("area", "address_key", F.col("address_key").alias("address")).mapInPandas(_parse_batches, schema)
     read = (F.col("number") != "") & (F.col("street") != "")
-    parsed = parsed.withColumn("node", F.when(read, _node()).otherwise(F.xxhash64("area", "address_key"))).withColumn("block", F.when(read, F.xxhash64("area", "block")))
+    parsed = parsed.withColumn("node", F.when(read, _node()).otherwise(F.xxhash64("area", "address_key")))
     parsed = cut(parsed, "parsed")
-    # A location's writings share its block, so a block of one node has no pair and leaves here.
-    blocks = parsed.filter("block is not null").groupBy("block").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last").select("block")
-    nodes = cut(parsed.join(blocks, "block", "left_semi").groupBy("node", "area", *_PARTS).agg(F.count(F.lit(1)).alias("n")), "nodes")
+    nodes = cut(parsed.filter(read).groupBy("node", "area", *_PARTS).agg(F.count(F.lit(1)).alias("n")), "nodes")
     banded = nodes.select("node", "area", *_PARTS).mapInPandas(_band_batches, "node long, band long")
-    pairs = banded.alias("p").join(banded.alias("q"), (F.col("p.band") == F.col("q.band")) & (F.col("p.node") < F.col("q.node"))).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+    # Bands of a single node leave before the join; bands are dealt once for that.
+    each = Window.partitionBy("band")
+    shared = banded.withColumns({"first": F.min("node").over(each), "last": F.max("node").over(each)}).filter("first <> last").select("node", "band")
+    shared = cut(shared, "bands")
+    pairs = shared.alias("p").join(shared.alias("q"), (F.col("p.band") == F.col("q.band")) & (F.col("p.node") < F.col("q.node"))).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
     one = nodes.select(F.col("node").alias("a"), *[F.col(p).alias(f"{p}_a") for p in _PARTS])
     two = nodes.select(F.col("node").alias("b"), *[F.col(p).alias(f"{p}_b") for p in _PARTS])
     links = cut(pairs.join(one, "a").join(two, "b").mapInPandas(_verify_batches, "a long, b long"), "links")
