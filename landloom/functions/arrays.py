@@ -142,11 +142,23 @@ def field(array: Column, name: str) -> Column:
     return F.transform(array, lambda p: p[name])
 
 
-def id_map(ids: Column, values: Column) -> Column:
-    """Id to value: of repeated ids the first value that is not null."""
-    unique = F.array_distinct(F.filter(ids, lambda i: i.isNotNull()))
-    best = F.transform(unique, lambda k: F.get(F.filter(F.transform(F.filter(F.zip_with(ids, values, lambda i, v: F.struct(i.alias("i"), v.alias("v"))), lambda s: s["i"] == k), lambda s: s["v"]), lambda v: v.isNotNull()), F.lit(0)))
-    return F.map_from_arrays(unique, best)
+def looked_up(keys: Column, ids: Column, values: Column, sql_type: str) -> Column:
+    """For each of the distinct keys the first value that is not null among those whose id is the key; null if there is none.
+
+    Keys and ids are sorted together, so the work is n log n, not one search per key.
+    """
+    key = F.transform(keys, lambda k, i: F.struct(k.alias("id"), F.lit(0).alias("side"), F.lit(False).alias("blank"), i.alias("pos"), F.lit(None).cast(sql_type).alias("v")))
+    held = F.zip_with(ids, values.cast(f"array<{sql_type}>"), lambda i, v: F.struct(i.alias("id"), v.alias("v")))
+    given = F.transform(held, lambda x, i: F.struct(x["id"].alias("id"), F.lit(1).alias("side"), x["v"].isNull().alias("blank"), i.alias("pos"), x["v"].alias("v")))
+
+    def joined(s: Column) -> Column:
+        """Each key with what follows it in order, if that is of the same id."""
+        following = lambda i: F.get(s, i + 1)
+        pairs = F.transform(s, lambda x, i: F.struct(x["side"].alias("side"), x["pos"].alias("pos"), F.when(following(i)["id"] == x["id"], following(i)["v"]).alias("v")))
+        return F.transform(F.array_sort(F.filter(pairs, lambda p: p["side"] == 0)), lambda p: p["v"])
+
+    # Within an array of one item the sorted list is a variable, evaluated once.
+    return F.get(F.transform(F.array(F.array_sort(F.concat(key, given))), joined), F.lit(0))
 
 
 def is_blank_item(x: Column) -> Column:

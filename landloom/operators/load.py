@@ -118,7 +118,11 @@ _IN_P = set(PAYLOAD) - {"unique_id", "county_id", "county_name", "cad_category"}
 
 
 def upsert(stored: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stored rows without those that are new, and the new rows; columns by name, nulls where one side lacks them."""
+    """Stored rows without those that are new, and the new rows; columns by name, nulls where one side lacks them.
+
+    Of new rows that repeat a key any one stays, so keys stay unique.
+    """
+    new = new.dropDuplicates(list(keys))
     return stored.join(new.select(*keys), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
 
 

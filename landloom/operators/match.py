@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landloom.functions.arrays import id_map, list_cell_loose, pad_trim, typed
+from landloom.functions.arrays import list_cell_loose, looked_up, pad_trim, typed
 from landloom.functions.numbers import whole_half_even
 from landloom.functions.text import clean_scalar, group_token, lower_name
 from landloom.missing import M5, is_missing
 
+SQL_TYPES = {"number": "double", "whole": "bigint", "date": "date"}
 VALUE_LISTS = {"acres_list": "number", "market_value_list": "number", "owner_tax_year_list": "whole", "deed_date_list": "date"}
 # Points of a link.
 POINTS = {"land": 10_000, "shared": 100, "own_in_theirs": 250, "theirs_in_own": 150, "name": 30, "group": 25, "part": 10, "length": 25, "lands": 10}
@@ -23,11 +24,6 @@ def land_id(col: Column) -> Column:
     return F.when(text.rlike(r"^\d+\.0+$"), F.regexp_replace(F.regexp_replace(text, r"\.0+$", ""), r"^0+(?=\d)", "")).otherwise(text)
 
 
-def _looked_up(ids: Column, values: Column) -> Column:
-    """For each id its value in a map; null where there is none."""
-    return F.transform(ids, lambda i: F.try_element_at(values, i))
-
-
 def source_records(df: DataFrame, area: Sequence[str], row: str, *, ident: str = "id", ids: str = "id_list", name: str = "full_name", lands: str = "lands_count", acres: str = "acres") -> tuple[DataFrame, DataFrame]:
     """Typed records (`area`, `row`, `land_id`, `name`, `lands`, `ids`, value lists by id), and skipped rows with a reason.
 
@@ -53,12 +49,11 @@ def source_records(df: DataFrame, area: Sequence[str], row: str, *, ident: str =
         lists[c] = values
     kept = rows.filter("reason is null").withColumns({f"v_{c}": v for c, v in lists.items()})
     kept = kept.withColumns({f"v_{c}": pad_trim(typed(F.col(f"v_{c}"), kind), F.size("raw__")) for c, kind in VALUE_LISTS.items()})
-    kept = kept.withColumns({f"v_{c}": id_map(F.col("num__"), F.col(f"v_{c}")) for c in VALUE_LISTS})
-    pick = {c: F.col(f"v_{c}") for c in VALUE_LISTS}
-    found = F.array_distinct(F.when(F.size(good) > 0, good).otherwise(fallback))
+    kept = kept.withColumn("found__", F.array_distinct(F.when(F.size(good) > 0, good).otherwise(fallback)))
     kept = kept.select(
         *area, F.col(f"`{row}`").alias("row"), F.col("land__").alias("land_id"), (clean_scalar(F.col(f"`{name}`")) if name in df.columns else F.lit("")).alias("name"),
-        (whole_half_even(F.col(f"`{lands}`")) if lands in df.columns else F.lit(None).cast("bigint")).alias("lands"), found.alias("ids"), *[_looked_up(found, m).alias(c) for c, m in pick.items()])
+        (whole_half_even(F.col(f"`{lands}`")) if lands in df.columns else F.lit(None).cast("bigint")).alias("lands"), F.col("found__").alias("ids"),
+        *[looked_up(F.col("found__"), F.col("num__"), F.col(f"v_{c}"), SQL_TYPES[kind]).alias(c) for c, kind in VALUE_LISTS.items()])
     return kept, skipped
 
 
@@ -125,15 +120,13 @@ def merged_lists(records: DataFrame, stored: DataFrame, matches: DataFrame, area
     both = both.withColumn("final_ids", F.when(F.size(final) > 0, final).otherwise(F.col("ids")))
     out, changed = {}, [F.when(F.col("old_ids") != F.col("final_ids"), F.lit("id_list"))]
     for c, kind in VALUE_LISTS.items():
-        sql_type = {"number": "double", "whole": "bigint", "date": "date"}[kind]
+        sql_type = SQL_TYPES[kind]
         stored_list = F.coalesce(F.col(f"old_{c}").cast(f"array<{sql_type}>"), F.array().cast(f"array<{sql_type}>"))
-        both = both.withColumn(f"o_{c}", pad_trim(stored_list, F.size("old_ids"), F.lit(None).cast(sql_type))).withColumn(f"o_{c}", id_map(F.col("old_ids"), F.col(f"o_{c}")))
-        old_map = F.col(f"o_{c}")
-        new_map = F.map_from_arrays(F.col("ids"), F.col(c).cast(f"array<{sql_type}>"))
-        was = _looked_up(F.col("final_ids"), old_map)
+        both = both.withColumn(f"o_{c}", pad_trim(stored_list, F.size("old_ids"), F.lit(None).cast(sql_type)))
+        was = looked_up(F.col("final_ids"), F.col("old_ids"), F.col(f"o_{c}"), sql_type)
         if c == "acres_list":
             was = F.when((F.size("old_ids") == 0) & F.col("their_number").isNotNull(), F.transform("final_ids", lambda i: F.when(i == F.col("their_number"), F.col("their_acres")))).otherwise(was)
-        now = _looked_up(F.col("final_ids"), new_map)
+        now = looked_up(F.col("final_ids"), F.col("ids"), F.col(c), sql_type)
         both = both.withColumns({f"was_{c}": was, f"now_{c}": now})
         was, now = F.col(f"was_{c}"), F.col(f"now_{c}")
         value = F.zip_with(was, now, lambda a, b: F.coalesce(b, a) if overwrite else F.coalesce(a, b))

@@ -662,11 +662,13 @@ def cell_cleaner(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _raw(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "load_rows").join(table(spark, d, "db_county").select("county_id", F.col("county_name").alias("county")), "county_id")
+    """Load rows as raw rows of an export; the description is the first text of the parcel's documents."""
+    texts = table(spark, d, "documents").filter("land_id is not null and text is not null").groupBy("county_id", "land_id").agg(F.min_by("text", "doc_id").alias("legal_desc"))
+    r = table(spark, d, "load_rows").join(table(spark, d, "db_county").select("county_id", F.col("county_name").alias("county")), "county_id").join(texts, ["county_id", "land_id"], "left")
     return r.select(
         "county_id", "county", F.col("source_file").alias("_src_file"), F.col("row_no").alias("_src_row"), F.col("land_id").alias("prop_id"), F.col("full_name").alias("owner_name"), F.col("legal_address").alias("situs_address"),
         F.col("mailing_address").alias("mail_addr"), F.col("acres").alias("legal_acreage"), F.col("city").alias("situs_city"), F.col("zip").alias("situs_zip"), F.col("state").alias("situs_state"),
-        F.col("market_value_list").alias("market"), F.col("owner_tax_year_list").alias("tax_year"), F.col("deed_date_list").alias("deed_date"), F.lit("LOT 3 AC 1.25").alias("legal_desc"))
+        F.col("market_value_list").alias("market"), F.col("owner_tax_year_list").alias("tax_year"), F.col("deed_date_list").alias("deed_date"), "legal_desc")
 
 
 @query()

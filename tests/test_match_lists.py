@@ -47,3 +47,10 @@ def test_links_by_all_parcels(spark, tmp_path):
     assert {(r["county_id"], r["row_no"]): (r["unique_id"], r["score"]) for r in best} == {k: (v[0][2], v[0][0]) for k, v in rank.items() if v}
     ties = {r["county_id"]: (r["n_rows"], r["n_ambiguous"]) for r in QUERIES["match_list_ambiguous"](spark, str(tmp_path)).collect()}
     assert ties == {c: (sum(k[0] == c for k in rank), sum(k[0] == c and len(v) > 1 and v[0][:2] == v[1][:2] for k, v in rank.items())) for c in (1, 2)}
+
+
+def test_looked_up_takes_the_first_value_that_is_there(spark):
+    rows = [([3, 1, 9], [1, 3, 1, None, 3], [None, 5.0, 2.0, 7.0, 6.0]), ([], [1], [2.0]), ([4], [], []), ([None, 2], [None, 2], [1.0, 8.0]), (None, [1], [1.0])]
+    df = spark.createDataFrame(rows, "k array<bigint>, i array<bigint>, v array<double>")
+    got = [r[0] for r in df.select(looked_up(F.col("k"), F.col("i"), F.col("v"), "double")).collect()]
+    assert got == [[5.0, 2.0, None], [], [None], [None, 8.0], None]
