@@ -1,5 +1,8 @@
 """Links by every listed parcel against brute force over all pairs."""
 
+from pyspark.sql import functions as F
+
+from landloom.functions.arrays import looked_up
 from landloom.plans.reference_queries import QUERIES
 
 #: row_no, county_id, land_id, its parcels, id_list as delivered, full_name, owned_lands.
