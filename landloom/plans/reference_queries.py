@@ -671,7 +671,11 @@ def _raw(spark: SparkSession, d: str) -> DataFrame:
         F.col("market_value_list").alias("market"), F.col("owner_tax_year_list").alias("tax_year"), F.col("deed_date_list").alias("deed_date"), "legal_desc")
 
 
-@query()
+_MAPPED = """select * from (values ('id', 'prop_id'), ('full_name', 'owner_name'), ('legal_address', 'situs_address'), ('mailing_address', 'mail_addr'), ('acres', 'legal_acreage'), ('city', 'situs_city'), ('zip', 'situs_zip'), ('state', 'situs_state'),
+    ('legal_acreage_filled_by_script', ''), ('Empty_Legal_Acreage', ''), ('market_value_list', 'market'), ('owner_tax_year_list', 'tax_year'), ('deed_date_list', 'deed_date')) t(field, columns)"""
+
+
+@query(_MAPPED)
 def mapped_columns(spark: SparkSession, d: str) -> DataFrame:
     """The columns that each essential field of the raw rows is built from."""
     return spark.createDataFrame([(k, ", ".join(v)) for k, v in mapping(_raw(spark, d).columns).items()], "field string, columns string")
