@@ -59,7 +59,7 @@ def path_values(records: DataFrame, file: str, number: str, payload: str) -> Dat
 
 def field_statistics(paths: DataFrame) -> DataFrame:
     """Per file and name: the type of most values, how many values, how many distinct ones."""
-    kinds = paths.groupBy("file", "name", "kind").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("raw")).alias("d"))
+    kinds = paths.groupBy("file", "name", "kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.xxhash64("raw")).alias("d"))
     return kinds.groupBy("file", "name").agg(
         F.max(F.struct("n", "kind")).getField("kind").alias("type"),
         F.sum("n").alias("n_values"), F.max(F.struct("n", "kind")).getField("n").alias("n_main"), F.max("d").alias("n_distinct"))
@@ -94,13 +94,19 @@ def changes(paths: DataFrame, order: DataFrame) -> DataFrame:
     # Records of the two files are aligned by the kept fields that come nearest to a key.
     rank = Window.partitionBy("file").orderBy(F.desc(F.least(F.col("d_old") / F.col("n_old"), F.lit(1.0)) * F.least(F.col("d_new") / F.col("n_new"), F.lit(1.0)) * F.least("n_old", "n_new")), "name")
     align = kept.join(pairs.select("file").distinct(), "file", "left_semi").withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= ALIGN_FIELDS).select("file", "before", "name", "r")
+    align = cut(align, "align")
+    # Values are freed from their notation once, and only those of fields that are compared.
+    compared = [align.select("file", "name"), align.select("before", "name"), begun.select("file", "new_name"), ended.select("before", "old_name")]
+    wanted = compared[0].union(compared[1]).union(compared[2]).union(compared[3]).distinct()
+    values = cut(paths.join(wanted, ["file", "name"], "left_semi").select("file", "rec", "name", plain_value(F.col("raw")).alias("v")), "values")
+    earlier = values.withColumnRenamed("file", "before")
     # One record per value on either side, so no value can multiply rows.
-    cur = align.join(paths, ["file", "name"]).groupBy("file", "before", "r", plain_value(F.col("raw")).alias("v")).agg(F.min("rec").alias("rec"))
-    old = align.join(paths.withColumnRenamed("file", "before"), ["before", "name"]).groupBy("file", "before", "r", plain_value(F.col("raw")).alias("v")).agg(F.min("rec").alias("rec_before"))
+    cur = align.join(values, ["file", "name"]).groupBy("file", "before", "r", "v").agg(F.min("rec").alias("rec"))
+    old = align.join(earlier, ["before", "name"]).groupBy("file", "before", "r", "v").agg(F.min("rec").alias("rec_before"))
     matched = cur.join(old, ["file", "before", "r", "v"]).groupBy("file", "before", "rec", "rec_before").agg(F.lit(1).alias("one"))
 
-    new_values = paths.join(begun.select("file", F.col("new_name").alias("name"), "before"), ["file", "name"]).join(ended.select("file").distinct(), "file", "left_semi").select("file", "rec", F.col("name").alias("new_name"), plain_value(F.col("raw")).alias("new_v"))
-    old_values = paths.withColumnRenamed("file", "before").join(ended.select("before", F.col("old_name").alias("name"), "file"), ["before", "name"]).join(begun.select("file").distinct(), "file", "left_semi").select("file", F.col("rec").alias("rec_before"), F.col("name").alias("old_name"), plain_value(F.col("raw")).alias("old_v"))
+    new_values = values.join(begun.select("file", F.col("new_name").alias("name"), "before"), ["file", "name"]).join(ended.select("file").distinct(), "file", "left_semi").select("file", "rec", F.col("name").alias("new_name"), F.col("v").alias("new_v"))
+    old_values = earlier.join(ended.select("before", F.col("old_name").alias("name"), "file"), ["before", "name"]).join(begun.select("file").distinct(), "file", "left_semi").select("file", F.col("rec").alias("rec_before"), F.col("name").alias("old_name"), F.col("v").alias("old_v"))
     aligned = matched.join(new_values, ["file", "rec"]).join(old_values, ["file", "rec_before"])
     a, b = F.col("old_v").try_cast("double"), F.col("new_v").try_cast("double")
     years = a.between(1900, 2100) & b.between(1900, 2100) & (a == F.floor(a)) & (b == F.floor(b)) & (F.abs(a - b) <= 3)
