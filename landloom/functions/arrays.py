@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from landloom.functions.numbers import id_text, number_text, parse_bool, parse_date, parse_number, strict_number, whole_half_even
-from landloom.functions.text import clean_cell, clean_scalar
+from landloom.functions.text import clean_cell, clean_scalar, once
 from landloom.missing import M4, M5, M9, is_missing
 
 PIPE = " | "
@@ -22,40 +22,52 @@ def _bracketed(text: Column) -> Column:
 
 def list_cell(col: Column, *, pipes: bool = False) -> Column:
     """A list cell of the grouping stages: a bracketed list, else with `pipes` the parts, else one item; missing is empty."""
-    text = clean_cell(col)
-    items = F.coalesce(_bracketed(text), F.split(text, r" \| ") if pipes else F.array(text), F.array(text))
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.transform(items, lambda x: clean_cell(x)))
+
+    def read(text: Column) -> Column:
+        items = F.coalesce(_bracketed(text), F.split(text, r" \| ") if pipes else F.array(text), F.array(text))
+        return F.when(text == "", F.array().cast("array<string>")).otherwise(F.transform(items, lambda x: clean_cell(x)))
+
+    return once(clean_cell(col), read)
 
 
 def list_cell_loose(col: Column) -> Column:
     """A list cell of the database stages: also ` | ` and commas, but no commas where the cell holds dates."""
-    text = clean_scalar(col)
-    dates = text.rlike(r"\d{1,2}/\d{1,2}/\d{2,4}")
-    plain = F.when(text.contains(PIPE), F.split(text, r" \| ")).when(text.contains(",") & ~dates, F.split(text, ",")).otherwise(F.array(text))
-    return F.when(is_missing(col, ("", "[]")), F.array().cast("array<string>")).otherwise(F.transform(F.coalesce(_bracketed(text), plain), lambda x: F.trim(x)))
+
+    def read(text: Column) -> Column:
+        dates = text.rlike(r"\d{1,2}/\d{1,2}/\d{2,4}")
+        plain = F.when(text.contains(PIPE), F.split(text, r" \| ")).when(text.contains(",") & ~dates, F.split(text, ",")).otherwise(F.array(text))
+        return F.transform(F.coalesce(_bracketed(text), plain), lambda x: F.trim(x))
+
+    return F.when(is_missing(col, ("", "[]")), F.array().cast("array<string>")).otherwise(once(clean_scalar(col), read))
 
 
 def list_cell_commas(col: Column) -> Column:
     """A list cell of the load stage: bars first, else every comma splits."""
-    text = F.trim(col.cast("string"))
-    plain = F.when(text.contains("|"), F.split(text, r"\|")).otherwise(F.split(text, ","))
-    return F.when(is_missing(col, M4), F.array().cast("array<string>")).otherwise(F.transform(F.coalesce(_bracketed(text), plain), lambda x: F.trim(x)))
+
+    def read(text: Column) -> Column:
+        plain = F.when(text.contains("|"), F.split(text, r"\|")).otherwise(F.split(text, ","))
+        return F.transform(F.coalesce(_bracketed(text), plain), lambda x: F.trim(x))
+
+    return F.when(is_missing(col, M4), F.array().cast("array<string>")).otherwise(once(F.trim(col.cast("string")), read))
 
 
 def aligned_cell(col: Column, size: Column) -> Column:
     """A list cell beside an id list: bars split it only if that gives the id list's length."""
-    text = clean_cell(col)
-    parts = F.transform(F.split(text, r" \| "), lambda x: F.trim(x))
-    plain = F.when((size > 1) & (F.size(parts) == size), parts).otherwise(F.array(text))
-    items = F.transform(F.coalesce(_bracketed(text), plain), lambda x: clean_cell(x))
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(items)
+
+    def read(text: Column) -> Column:
+        parts = F.transform(F.split(text, r" \| "), lambda x: F.trim(x))
+        plain = F.when((size > 1) & (F.size(parts) == size), parts).otherwise(F.array(text))
+        items = F.transform(F.coalesce(_bracketed(text), plain), lambda x: clean_cell(x))
+        return F.when(text == "", F.array().cast("array<string>")).otherwise(items)
+
+    return once(clean_cell(col), read)
 
 
 def pad_trim(array: Column, size: Column, fill: Column | None = None) -> Column:
     """Exactly `size` items: cut, or filled up with `fill` (null); no size, no items."""
     wanted = F.greatest(size, F.lit(0))
-    more = F.array_repeat(F.lit(None) if fill is None else fill, F.greatest(wanted - F.size(array), F.lit(0)).cast("int"))
-    return F.concat(F.slice(array, F.lit(1), wanted.cast("int")), more)
+    more = lambda a: F.array_repeat(F.lit(None) if fill is None else fill, F.greatest(wanted - F.size(a), F.lit(0)).cast("int"))
+    return once(array, lambda a: F.concat(F.slice(a, F.lit(1), wanted.cast("int")), more(a)))
 
 
 def typed(array: Column, kind: str) -> Column:
@@ -65,15 +77,22 @@ def typed(array: Column, kind: str) -> Column:
 
 
 def null_if_empty(array: Column) -> Column:
-    return F.when(F.size(array) > 0, array)
+    return once(array, lambda a: F.when(F.size(a) > 0, a))
 
 
 def json_text(array: Column, *, spaced: bool = True) -> Column:
     """A list as JSON text; `spaced` puts a space after each comma."""
     if not spaced:
         return F.to_json(array)
-    quoted = F.transform(array, lambda x: F.substring(F.to_json(F.array(x)), 2, 1 << 30))
-    return F.concat(F.lit("["), F.array_join(F.transform(quoted, lambda x: x.substr(F.lit(1), F.length(x) - 1)), ", "), F.lit("]"))
+
+    def written(a: Column) -> Column:
+        quoted = F.transform(a, lambda x: F.substring(F.to_json(F.array(x)), 2, 1 << 30))
+        items = F.array_join(F.transform(quoted, lambda x: x.substr(F.lit(1), F.length(x) - 1)), ", ")
+        # Where nothing needs escaping, quotes are put around the items as they are.
+        plain = (F.size(a) > 0) & ~F.exists(a, lambda x: x.isNull()) & ~F.array_join(a, "").rlike(r'["\\\x00-\x1f]')
+        return F.concat(F.lit("["), F.when(plain, F.concat(F.lit('"'), F.array_join(a, '", "'), F.lit('"'))).otherwise(items), F.lit("]"))
+
+    return once(array.cast("array<string>"), written)
 
 
 def pipe_text(array: Column) -> Column:
@@ -114,8 +133,8 @@ def number_sum(array: Column) -> Column:
 
 def recomputed_acres(array: Column) -> Column:
     """The sum of the numbers, to six digits; null if there is none."""
-    numbers = F.filter(typed(array, "number"), lambda x: x.isNotNull())
-    return F.when(F.size(numbers) > 0, F.bround(F.aggregate(numbers, F.lit(0.0), lambda a, x: a + x), 6))
+    total = lambda n: F.when(F.size(n) > 0, F.bround(F.aggregate(n, F.lit(0.0), lambda a, x: a + x), 6))
+    return once(F.filter(typed(array, "number"), lambda x: x.isNotNull()), total)
 
 
 VALUE_FIELDS = ("acres", "market", "tax_year", "deed_date", "filled", "empty")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +11,15 @@ from pyspark.sql import functions as F
 from landloom.missing import M4, M8, M9, is_missing
 
 
+def once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """`then` of a value that is computed once, however often and in whatever lambda it is used.
+
+    A column of an earlier step is no such promise: steps are merged where the
+    column is used once, even if that is within a lambda that runs per item.
+    """
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def key_text(col: Column) -> Column:
     """Trimmed, runs of white space as one space, upper-cased. Null stays null."""
     return F.upper(F.trim(F.regexp_replace(col, r"(?U)\s+", " ")))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,10 +17,19 @@ M4 = ("", "nan", "none", "null", "nat")
 TABLE_TOKENS = ("empty", *M9)
 
 
+@lru_cache
+def _pattern(tokens: tuple[str, ...]) -> str:
+    """A text of one token in any case between white space; other text is left at its first letters.
+
+    The Kelvin sign is the one other character whose lower case is an ASCII letter.
+    """
+    letter = lambda c: f"[{c}{c.upper()}{'\\u212A' * (c == 'k')}]" if c.isalpha() else re.escape(c)
+    return r"(?U)^\s*(?:" + "|".join("".join(map(letter, t)) for t in tokens) + r")\s*\z"
+
+
 def is_missing(col: Column, tokens: tuple[str, ...] = M9) -> Column:
     """True when the value is null or one of `tokens`; never null itself."""
-    text = F.lower(F.regexp_replace(col.cast("string"), r"(?U)^\s+|\s+$", ""))
-    return col.isNull() | text.isin(*tokens)
+    return col.isNull() | col.cast("string").rlike(_pattern(tokens))
 
 
 def present(col: Column, tokens: tuple[str, ...] = M9) -> Column:

@@ -110,6 +110,8 @@ def owner_payload(df: DataFrame, counties: DataFrame, stored: DataFrame, order:
     """
     typed, skipped = typed_rows(df, ident=ident)
     named = typed.drop("county_name", "cad_category").join(counties.select(area, "county_name", "cad_category"), area, "left")
+    # Written before they are dealt to ranges, since taking the ranges' bounds reads every row once more.
+    named = cut(named.select(*dict.fromkeys([area, "county_id", "county_name", "cad_category", *order, "p"])), "typed")
     numbered = number_rows(named, largest_index(stored, area), area, order)
     return numbered.select(*[(F.col("p")[c] if c in _IN_P else F.col(c)).alias(c) for c in PAYLOAD], F.col("p")["true_flags"].alias("true_flags")), skipped
 

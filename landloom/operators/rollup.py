@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landloom.functions.arrays import acres_texts, aligned_cell, field, json_text, list_cell, number_sum
 from landloom.functions.numbers import id_text, number_text, parse_number
-from landloom.functions.text import clean_cell, group_label, group_label_plain, mailing_code
+from landloom.functions.text import clean_cell, group_label, group_label_plain, mailing_code, once
 from landloom.missing import is_missing
 from landloom.operators.owners import ALIGNED
+from landloom.session import cut
 
 CORE = ("id", "full_name", "legal_address", "mailing_address", "acres", "city", "zip", "state")
 PREFERRED = (*CORE, "lands_count", "id_list", "acres_list", *ALIGNED)
@@ -20,42 +21,45 @@ PREFERRED = (*CORE, "lands_count", "id_list", "acres_list", *ALIGNED)
 def with_parcels(df: DataFrame, aligned: Sequence[str]) -> DataFrame:
     """Owner rows with `parcels__`: their lists side by side, the row's own id and acres where a list is empty.
 
-    Built in steps, each on the columns of the one before, so that no
-    expression is repeated within the plan.
+    One expression in which every list is made once.
     """
     own_id = F.filter(F.array(id_text(F.col("id"))), lambda x: x != "")
     own_acres = F.filter(F.array(number_text(parse_number(F.col("acres")))), lambda x: x != "")
-    rows = df.withColumns({"i__": list_cell(F.col("id_list"), pipes=True), "a__": list_cell(F.col("acres_list"), pipes=True)})
-    rows = rows.withColumns({
-        "i__": F.when(F.size("i__") > 0, F.transform("i__", lambda x: id_text(x))).otherwise(own_id),
-        "a__": F.when(F.size("a__") > 0, acres_texts(F.col("a__"))).otherwise(own_acres),
-    })
-    rows = rows.withColumn("n__", F.greatest(F.size("i__"), F.size("a__"), F.lit(1)))
-    names = [f"l{k}__" for k in range(len(aligned))]
-    if aligned:
-        rows = rows.withColumns({n: aligned_cell(F.col(f"`{c}`"), F.col("n__")) for n, c in zip(names, aligned)})
-    rows = rows.withColumn("m__", F.greatest(F.col("n__"), F.lit(1), *[F.size(n) for n in names]))
-    columns = {"id": "i__", "acres": "a__", **dict(zip(aligned, names))}
-    entry = lambda i: F.struct(*[F.coalesce(F.get(F.col(c), i), F.lit("")).alias(n) for n, c in columns.items()])
-    rows = rows.withColumn("parcels__", F.transform(F.sequence(F.lit(0), F.col("m__") - 1), entry))
-    return rows.drop("i__", "a__", "n__", "m__", *names)
+    ids = once(list_cell(F.col("id_list"), pipes=True), lambda v: F.when(F.size(v) > 0, F.transform(v, lambda x: id_text(x))).otherwise(own_id))
+    acres = once(list_cell(F.col("acres_list"), pipes=True), lambda v: F.when(F.size(v) > 0, acres_texts(v)).otherwise(own_acres))
+
+    def beside(s: Column) -> Column:
+        size = F.greatest(F.size(s["id"]), F.size(s["acres"]), F.lit(1))
+        return F.struct(s["id"].alias("id"), s["acres"].alias("acres"), *[aligned_cell(F.col(f"`{c}`"), size).alias(c) for c in aligned])
+
+    def entries(s: Column) -> Column:
+        size = F.greatest(F.lit(1), *[F.size(s[n]) for n in names])
+        return F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.struct(*[F.coalesce(F.get(s[n], i), F.lit("")).alias(n) for n in names]))
+
+    names = ["id", "acres", *aligned]
+    return df.withColumn("parcels__", once(once(F.struct(ids.alias("id"), acres.alias("acres")), beside), entries))
 
 
 def measures(df: DataFrame, aligned: Sequence[str]) -> DataFrame:
     """Owner rows with their parcels, count, largest parcel and its id, total acres, first id."""
     rows = with_parcels(df, aligned)
     rows = rows.withColumns({"own_acres__": F.coalesce(parse_number(F.col("acres")), F.lit(0.0)), "own_id__": id_text(F.col("id")), "given__": parse_number(F.col("lands_count"))})
-    rows = rows.withColumn("sizes__", F.transform("parcels__", lambda p: F.struct(F.coalesce(parse_number(p["acres"]), F.lit(0.0)).alias("acres"), id_text(p["id"]).alias("id"))))
+    sizes = F.transform("parcels__", lambda p: F.struct(F.coalesce(parse_number(p["acres"]), F.lit(0.0)).alias("acres"), id_text(p["id"]).alias("id")))
     start = F.struct(F.col("own_id__").alias("id"), F.col("own_acres__").alias("acres"))
-    best = F.aggregate(
-        F.col("sizes__"), start,
-        lambda b, p: F.when((p["acres"] > b["acres"]) | ((p["acres"] == b["acres"]) & (b["id"] == "") & (p["id"] != "")), F.struct(p["id"].alias("id"), p["acres"].alias("acres"))).otherwise(b))
-    first = F.coalesce(F.nullif(F.col("own_id__"), F.lit("")), F.get(F.filter(F.transform("sizes__", lambda p: p["id"]), lambda x: x != ""), F.lit(0)), F.lit(""))
-    rows = rows.withColumns({"best__": best, "first__": first, "total__": F.aggregate("sizes__", F.lit(0.0), lambda a, p: a + p["acres"])})
+
+    def summed(s: Column) -> Column:
+        best = F.aggregate(
+            s, start,
+            lambda b, p: F.when((p["acres"] > b["acres"]) | ((p["acres"] == b["acres"]) & (b["id"] == "") & (p["id"] != "")), F.struct(p["id"].alias("id"), p["acres"].alias("acres"))).otherwise(b))
+        first = F.coalesce(F.nullif(F.col("own_id__"), F.lit("")), F.get(F.filter(F.transform(s, lambda p: p["id"]), lambda x: x != ""), F.lit(0)), F.lit(""))
+        return F.struct(best.alias("best"), first.alias("first"), F.aggregate(s, F.lit(0.0), lambda a, p: a + p["acres"]).alias("total"))
+
+    rows = rows.withColumn("sums__", once(sizes, summed))
     return rows.withColumns({
+        "best__": F.col("sums__")["best"], "first__": F.col("sums__")["first"],
         "count__": F.when(F.col("given__") > 0, F.bround("given__")).otherwise(F.size("parcels__")).cast("long"),
-        "total__": F.when(F.col("total__") > 0, F.col("total__")).otherwise(F.col("own_acres__")),
-    }).drop("own_id__", "own_acres__", "given__", "sizes__")
+        "total__": F.when(F.col("sums__")["total"] > 0, F.col("sums__")["total"]).otherwise(F.col("own_acres__")),
+    }).drop("own_acres__", "own_id__", "given__", "sums__")
 
 
 def rollup_mailing(df: DataFrame, area: Sequence[str], order: Sequence[str], *, aligned: Sequence[str] = ALIGNED, id_mode: str = "best", name_mode: str = "primary", clear_source: bool = True) -> DataFrame:
@@ -77,7 +81,8 @@ def rollup_mailing(df: DataFrame, area: Sequence[str], order: Sequence[str], *,
     shared = keyed.filter("key__ is not null").groupBy(*area, "key__").agg(F.count(F.lit(1)).alias("rows__")).filter("rows__ > 1")
     # Null keys meet nothing, so one left join marks the members; a hot address is on one small row of `shared`.
     marked = keyed.join(shared, [*area, "key__"], "left")
-    members = measures(marked.filter("rows__ is not null"), present)
+    # Read twice, so its lists are taken apart once.
+    members = cut(measures(marked.filter("rows__ is not null"), present), "members")
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns], "best__", "first__")
     rank = F.struct((-F.col("count__")).alias("a"), (-F.col("best__")["acres"]).alias("b"), (-F.col("total__")).alias("c"), place.alias("o"))
     groups = members.groupBy(*area, "key__").agg(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from landloom.functions.arrays import json_text, list_cell_loose, recomputed_acres
 from landloom.functions.numbers import number_text, whole_exact
-from landloom.functions.text import clean_scalar
+from landloom.functions.text import clean_scalar, once
 from landloom.missing import M5, is_missing
 from landloom.operators.owners import ALIGNED
 
@@ -57,36 +57,33 @@ def subtract_parcels(df: DataFrame, keys: DataFrame, area: Sequence[str], row: s
     rows = df.withColumn("ids__", F.when(is_missing(F.col(f"`{ident}`"), M5), F.array().cast("array<string>")).otherwise(every)).withColumn("list__", from_list)
     items = rows.select(*area, F.col(f"`{row}`").alias("row__"), F.posexplode("ids__").alias("pos", "item")).withColumn("forms", id_keys(F.col("item"))).filter(F.size("forms") > 0)
     probe = items.select(*area, "row__", "pos", F.explode("forms").alias("parcel"))
-    hit = probe.join(keys.select(*area, "parcel"), [*area, "parcel"], "left_semi").groupBy("row__").agg(F.collect_set("pos").alias("hit__"))
-    valid = items.groupBy("row__").agg(F.array_sort(F.collect_list("pos")).alias("valid__"))
-    marked = rows.join(valid, rows[row] == valid["row__"], "left").drop("row__").join(hit, F.col(f"`{row}`") == hit["row__"], "left").drop("row__")
+    there = keys.select(*area, "parcel").distinct().withColumn("there__", F.lit(True))
+    compared = probe.join(there, [*area, "parcel"], "left").groupBy("row__").agg(F.collect_set("pos").alias("valid__"), F.collect_set(F.when(F.col("there__"), F.col("pos"))).alias("hit__"))
+    marked = rows.join(compared, rows[row] == compared["row__"], "left").drop("row__")
     none = F.array().cast("array<int>")
-    marked = marked.withColumns({"valid__": F.coalesce("valid__", none), "hit__": F.array_sort(F.coalesce("hit__", none))})
+    marked = marked.withColumns({"valid__": F.array_sort(F.coalesce("valid__", none)), "hit__": F.array_sort(F.coalesce("hit__", none))})
     marked = marked.withColumn("left__", F.array_except("valid__", "hit__"))
     n_valid, n_hit, n_left = F.size("valid__"), F.size("hit__"), F.size("left__")
     outcome = F.when(n_valid == 0, "skipped_kept").when(n_hit == 0, "kept").when(n_left == 0, "dropped").otherwise("partial")
     marked = marked.withColumn("outcome", outcome)
-    # Lists become columns of their own first, so that no cell is parsed once per item.
-    names = {c: f"v{k}__" for k, c in enumerate(present)}
-    marked = marked.withColumns({n: list_cell_loose(F.col(f"`{c}`")) for c, n in names.items()}) if present else marked
+    # Each cell is parsed once, never once per item, and only where its list is cut.
     partial = F.col("outcome") == "partial"
-    pick = lambda name: F.transform("left__", lambda i: F.coalesce(F.get(F.col(name), i), F.lit("")))
-    marked = marked.withColumns({"ids_left__": F.transform(pick("ids__"), lambda x: land_text(x)), **{n: pick(n) for n in names.values()}})
+    at = lambda values, places, read: once(values, lambda v: F.transform(places, lambda i: once(F.coalesce(F.get(v, i), F.lit("")), read)))
+    picked = {c: at(list_cell_loose(F.col(f"`{c}`")), "left__", lambda x: F.when(is_missing(x, M5), "").otherwise(x)) for c in present}
     out = {}
-    for c, n in names.items():
-        values = F.transform(n, lambda x: F.when(is_missing(x, M5), "").otherwise(x))
+    for c, values in picked.items():
         out[c] = F.when(partial & F.col("list__"), json_text(values, spaced=False)).otherwise(F.col(f"`{c}`"))
     if has_list:
-        out[ids] = F.when(partial, json_text(F.col("ids_left__"), spaced=False)).otherwise(F.col(f"`{ids}`"))
-    out[ident] = F.when(partial, F.get("ids_left__", F.lit(0))).otherwise(F.col(f"`{ident}`"))
+        out[ids] = F.when(partial, json_text(at(F.col("ids__"), "left__", land_text), spaced=False)).otherwise(F.col(f"`{ids}`"))
+    out[ident] = F.when(partial, land_text(F.coalesce(F.get("ids__", F.get("left__", F.lit(0))), F.lit("")))).otherwise(F.col(f"`{ident}`"))
     for c in counts:
         if c in df.columns:
             out[c] = F.when(partial, n_left.cast(df.schema[c].dataType)).otherwise(F.col(f"`{c}`"))
     if "acres_list" in present and acres in df.columns:
-        marked = marked.withColumn("fresh__", F.when(partial, recomputed_acres(F.col(names["acres_list"]))))
+        marked = marked.withColumn("fresh__", F.when(partial, recomputed_acres(picked["acres_list"])))
         made = number_text(F.col("fresh__"), 6) if dict(df.dtypes)[acres] == "string" else F.col("fresh__")
         out[acres] = F.when(F.col("fresh__").isNotNull(), made).otherwise(F.col(f"`{acres}`"))
-    removed = json_text(F.transform(F.transform("hit__", lambda i: F.get(F.col("ids__"), i)), lambda x: land_text(x)), spaced=False)
+    removed = json_text(at(F.col("ids__"), "hit__", land_text), spaced=False)
     return marked.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns], "outcome", n_valid.alias("seen"), n_hit.alias("removed"), n_left.alias("remaining"), removed.alias("removed_ids"))
 
 
