@@ -82,8 +82,8 @@ def _proper(text: str) -> set[str]:
 class Items:
     """Tokens, own words (names, dates, figures) and seeds of all items.
 
-    Seeds are rare own words, and neighbours of which one is an own word. An own word
-    that is matched stands in a tile, so its neighbours are met, or alone between two.
+    Seeds are rare own words, neighbours of which one is an own word, and as many of the
+    other own words, the rarest first, as it takes that no passage is matched without a seed.
     """
 
     def __init__(self, rows: list[tuple[int, str]]) -> None:
@@ -109,8 +109,17 @@ class Items:
             for t in {t for t, o, o2 in zip(zip(got, got[1:]), own, own[1:]) if o or o2}:
                 if count[t] <= stock_pairs:
                     self.seeds.setdefault(t, []).append(k)
-        self.seed_set = frozenset(self.seeds)
         self.own_words = [[t for t, o in zip(got, own) if o] for got, own in zip(self.tokens, self.own)]
+        # Short or common own words are seeds too where a passage could else be matched without any seed.
+        for k, words in enumerate(self.own_words):
+            need = self.need(k)
+            bare = [k not in self.seeds.get(t, ()) for t in words]
+            for t in sorted({t for t, b in zip(words, bare) if b}, key=lambda t: (count[t], t)):
+                if not _enough(bare, need):
+                    break
+                self.seeds.setdefault(t, []).append(k)
+                bare = [b and w != t for w, b in zip(words, bare)]
+        self.seed_set = frozenset(self.seeds)
 
     def need(self, k: int) -> np.ndarray:
         """How many of the own words i to j - 1 of an item must be matched if a passage holds these only; infinite where none can."""
@@ -125,10 +134,15 @@ class Items:
         return out
 
 
+def _enough(met: list[bool], need: np.ndarray) -> bool:
+    """Whether own words of an item, those that are met marked, are enough for any passage."""
+    good = np.array([0, *accumulate(met)])
+    return bool((good - good[:, None] >= need).any())
+
+
 def _own_met(own_words: list[str], need: np.ndarray, doc: set[str]) -> bool:
     """Whether enough own words of an item stand in the document for any passage; never False where `leaked` finds one."""
-    good = np.array([0, *accumulate(t in doc for t in own_words)])
-    return bool((good - good[:, None] >= need).any())
+    return _enough([t in doc for t in own_words], need)
 
 
 def tiles(item: list[str], doc: list[str], least: int = TILE) -> list[tuple[int, int, int]]:

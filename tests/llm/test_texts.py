@@ -70,6 +70,15 @@ def test_repeated_items_and_blocks_of_items_lose_nothing(spark, monkeypatch):
     assert leaked(4) >= {(k, 100 * c + k) for c in range(4) for k in range(0, 60, 6)}
 
 
+def test_a_passage_that_many_items_share_has_seeds(spark):
+    # Twelve different items quote one passage, so its words and neighbours are too common to be seeds of that kind.
+    passage = "to repair the transmission line on notice of 42 days the south boundary of it runs S 16 34 E for about 2135.5 feet and then leaves the road"
+    docs = [(1, f"Taxes were paid late because the notice had been sent to an old box. {passage}. The barn was burned."), (2, passage.replace("42", "9").replace("16 34", "8 7").replace("2135.5", "12.25"))]
+    items = [(i, f"The owner of tract {700 + i} has the right {passage} to the north.") for i in range(60, 72)]
+    found = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", spark.createDataFrame(items, "item_id long, item_text string"), "item_id", "item_text")
+    assert {(r["doc"], r["item"]) for r in found.collect()} == {(1, i) for i in range(60, 72)}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from("abcdefgh12"), min_size=23, max_size=40), st.lists(st.integers(0, 39), max_size=12))
 def test_shared_words_refuse_no_leak(item, changed):
