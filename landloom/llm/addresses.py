@@ -14,9 +14,10 @@ _ZIP = re.compile(r"^\d{5}(?:-\d{4})?$")
 _UNITS, _ENDS, _FEATURES = frozenset(UNIT), frozenset(CITY_END), frozenset(FEATURE)
 _DOTTED = re.compile(r"\b([A-Z])\.\s?(?=[A-Z]\b)")
 _JOINED = re.compile(r"^(FM|CR)(\d+)$")
-_PHRASES = [(re.compile(p), r) for p, r in (
-    (r"\bP\s*O\s*BOX\b|\bPOB\b|\bPOST OFFICE BOX\b|\bP\s*O\s*B\b", "BOX"), (r"\bFARM (?:TO|2) MARKET(?: ROAD| RD)?\b|\bF\s+M\b|\bFM (?:ROAD|RD)\b", "FM"),
-    (r"\b(?:COUNTY|CNTY|CO) (?:ROAD|RD)\b|\bC\s+R\b(?=\s*\d)", "CR"), (r"\bNEW MEXICO\b|\bN M\b(?=\s*(?:\d|$))", "NM"), (r"\bNEW YORK\b", "NY"),
+# Each with what a text must hold, white space left out, for the pattern to be found in it.
+_PHRASES = [(signs, re.compile(p), r) for signs, p, r in (
+    (("BOX", "POB"), r"\bP\s*O\s*BOX\b|\bPOB\b|\bPOST OFFICE BOX\b|\bP\s*O\s*B\b", "BOX"), (("MARKET", "FM"), r"\bFARM (?:TO|2) MARKET(?: ROAD| RD)?\b|\bF\s+M\b|\bFM (?:ROAD|RD)\b", "FM"),
+    (("CR", "COUNTYR", "CNTYR", "COR"), r"\b(?:COUNTY|CNTY|CO) (?:ROAD|RD)\b|\bC\s+R\b(?=\s*\d)", "CR"), (("NEWMEXICO", "NM"), r"\bNEW MEXICO\b|\bN M\b(?=\s*(?:\d|$))", "NM"), (("NEWYORK",), r"\bNEW YORK\b", "NY"),
 )]
 
 
@@ -55,9 +56,14 @@ def _place(tokens: list[str]) -> tuple[list[str], str, str]:
 
 def parse(text: str) -> Address:
     """Parse one address; what cannot be read is left out, and no input raises."""
-    t = _DOTTED.sub(r"\1", plain(text)).replace(".", " ").replace("'", "")
-    for pattern, to in _PHRASES:
-        t = pattern.sub(to, t)
+    t = plain(text)
+    if "." in t:
+        t = _DOTTED.sub(r"\1", t).replace(".", " ")
+    t = t.replace("'", "")
+    close = "".join(t.split())
+    for signs, pattern, to in _PHRASES:
+        if any(x in close for x in signs):
+            t = pattern.sub(to, t)
     number = direction = street = kind = unit = city = state = code = ""
     for segment in _SEGMENT.split(t):
         if _CARE.match(segment):
@@ -67,10 +73,10 @@ def parse(text: str) -> Address:
             continue
         split = []
         for x in tokens:
-            m = _JOINED.match(x)
+            m = x[0] in "FC" and _JOINED.match(x)
             split += m.groups() if m else (x,)
         for k in range(1, len(split) - 1):  # place first, street after it without a comma
-            if _ZIP.match(split[k]) and split[k - 1] in STATE_FORM and split[k - 1] not in STREET_FORM:
+            if split[k][0].isdigit() and split[k - 1] in STATE_FORM and _ZIP.match(split[k]) and split[k - 1] not in STREET_FORM:
                 state, code = state or STATE_FORM[split[k - 1]], code or split[k][:5]
                 city, split = city or " ".join(split[:k - 1]), split[k + 1:]
                 break

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -56,26 +57,38 @@ def block(a: Address) -> str:
 
 def shingles(a: Address) -> list[int]:
     """Hashes of the words of the street and of the q-grams of each; of the whole street where it is a number or a box."""
-    words = a.street.split()
+    return [*_street_shingles(a.street)]
+
+
+@lru_cache(100_000)
+def _street_shingles(street: str) -> tuple[int, ...]:
+    words = street.split()
     if not words:
-        return []
+        return ()
     if words[0] in ("BOX", "FM", "CR"):
-        return [_gram("=" + a.street)]
+        return (_gram("=" + street),)
     out = set()
     for w in words:
         w = PLACE_FORM.get(w, w)
         padded = f"^{w}$"
         # A street's only word is no more than its q-grams.
         out.update((*(["=" + w] if len(words) > 1 else []), *(padded[i:i + 2] for i in range(len(padded) - 1))))
-    return [_gram(g) for g in sorted(out)]
+    return tuple(_gram(g) for g in sorted(out))
 
 
 def bands(blocks: list[str], grams: list[list[int]]) -> list[list[int]]:
     """Band keys of each record: MinHash of its shingles, mixed with its block."""
+    return _bands(blocks, grams).tolist()
+
+
+def _bands(blocks: list[str], grams: Sequence[Sequence[int]]) -> np.ndarray:
+    """`bands` as an array; a set of shingles that several records have is hashed once."""
     if not blocks:
-        return []
-    sizes = np.array([len(g) for g in grams])
-    flat = np.fromiter((x for g in grams for x in g), np.uint64, int(sizes.sum()))
+        return np.empty((0, BANDS), np.int64)
+    known: dict[tuple[int, ...], int] = {}
+    which = np.array([known.setdefault(tuple(g), len(known)) for g in grams])
+    sizes = np.array([len(g) for g in known])
+    flat = np.fromiter((x for g in known for x in g), np.uint64, int(sizes.sum()))
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     own = np.array([_fnv(b) for b in blocks], np.uint64)
     out = np.empty((len(blocks), BANDS), np.uint64)
@@ -85,10 +98,10 @@ def bands(blocks: list[str], grams: list[list[int]]) -> list[list[int]]:
             for r in range(ROWS):
                 k = band * ROWS + r
                 least = np.minimum.reduceat((flat * _MUL[k] + _ADD[k]) >> np.uint64(16), starts)
-                key = (key ^ least) * np.uint64(0xBF58476D1CE4E5B9)
+                key = (key ^ least[which]) * np.uint64(0xBF58476D1CE4E5B9)
                 key ^= key >> np.uint64(29)
             out[:, band] = key
-    return out.view(np.int64).tolist()
+    return out.view(np.int64)
 
 
 def _word_cost(x: str, y: str) -> float:
@@ -160,13 +173,13 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _band_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         items = [Address(*r) for r in batch[list(_PARTS)].itertuples(index=False)]
-        grams = [shingles(a) if a.number else [] for a in items]
+        grams = [_street_shingles(a.street) if a.number else () for a in items]
         at = [i for i, g in enumerate(grams) if g]
         areas = batch["area"].astype(str).tolist()
-        keys = bands([f"{areas[i]}|{block(items[i])}" for i in at], [grams[i] for i in at])
+        keys = _bands([f"{areas[i]}|{block(items[i])}" for i in at], [grams[i] for i in at])
         nodes = batch["node"].to_numpy()[at]
         # Of equal band keys within a record one is enough.
-        yield pd.DataFrame({"node": np.repeat(nodes, BANDS), "band": np.array(keys, np.int64).reshape(-1)})
+        yield pd.DataFrame({"node": np.repeat(nodes, BANDS), "band": keys.reshape(-1)})
 
 
 def _verify_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -63,3 +63,14 @@ def test_empty_and_extra_columns(spark):
     df = spark.createDataFrame([], "county_id int, row_no long, legal_address string, mailing_address string, node int, area string")
     records = address_records(df, "county_id", "row_no", ["legal_address", "mailing_address"])
     assert locations(records).count() == 0 and same_place_pairs(records).count() == 0
+
+
+def test_street_shingles_are_made_once_and_phrases_looked_for_by_their_signs():
+    from landloom.llm import addresses_link as link
+
+    link._street_shingles.cache_clear()
+    for number in range(50):
+        shingles(parse(f"{number + 1} OAK MILL RD, BALKOD TX 78001"))
+    assert link._street_shingles.cache_info().misses == 1
+    for text, street in (("P. O. B 12, BALKOD TX 78001", "BOX"), ("p\to\nbox 12", "BOX"), ("12 F M 33, BALKOD TX", "FM 33"), ("12 CNTY ROAD 5", "CR 5"), ("12 C R 44", "CR 44")):
+        assert parse(text).street == street, text
